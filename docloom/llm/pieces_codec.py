@@ -25,7 +25,7 @@ _tables: dict[str, "PieceTable"] = {}
 class PieceTable:
     """Distinct marked chunk -> (ids, their decimal form, decoded text)."""
 
-    def __init__(self, model: str, table_rows: int = 250_000):
+    def __init__(self, model: str, table_rows: int = 400_000):
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -33,41 +33,52 @@ class PieceTable:
         if crossing or self.sp.encode("a", out_type=str)[:1] not in ([MARK + "a"], [MARK]):
             raise ValueError("pieces of this model cross space markers, or it adds no marker in front: chunks can't be encoded apart")
         self.mark_id = self.sp.piece_to_id(MARK)
-        self.limit, self.digits, self.decoded, self.count = table_rows, {}, {}, {}
+        self.limit, self.digits, self.decoded = table_rows, {}, {}
 
     def learn(self, chunks: list[str]) -> None:
-        """Segment chunks that the table lacks. The library itself puts the first marker in front."""
-        if len(self.digits) > self.limit:
-            self.digits.clear()
-            self.decoded.clear()
-            self.count.clear()
+        """Segment chunks that the table lacks, in one call. The library itself puts the first marker in front."""
         ids = self.sp.encode([c[1:] for c in chunks], num_threads=1)
         ids = [x or [self.mark_id] for x in ids]
-        for chunk, x, text in zip(chunks, ids, self.sp.decode(ids)):
+        for chunk, x, text in zip(chunks, ids, self.sp.decode(ids, num_threads=1)):
             self.digits[chunk] = ",".join(map(str, x))
             self.decoded[chunk] = " " + text
-            self.count[chunk] = len(x)
 
-    def chunks(self, text: str) -> list[str]:
-        found = _CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
-        digits = self.digits
-        new = [c for c in dict.fromkeys(found) if c not in digits]
+    def rows(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """For each whole text: number of ids, ids as decimals joined by commas, decoded text."""
+        if len(self.digits) > self.limit:
+            self.digits.clear()
+            self.decoded.clear()
+        found = [_CHUNK.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        digits, decoded = self.digits, self.decoded
+        new = set().union(*found).difference(digits)
         if new:
-            before = len(digits)
-            self.learn(new)
-            if len(digits) < before:  # the table was emptied
-                self.learn([c for c in dict.fromkeys(found) if c not in digits])
-        return found
+            self.learn(list(new))
+        out = []
+        for chunks in found:
+            joined = ",".join(map(digits.__getitem__, chunks))
+            out.append((joined.count(",") + 1 if joined else 0, joined, "".join(map(decoded.__getitem__, chunks))[1:]))
+        return out
+
+    def row(self, text: str) -> tuple[int, str, str]:
+        return self.rows([text])[0]
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for c in self.chunks(text) for i in self.digits[c].split(",")]
+        joined = self.row(text)[1]
+        return [int(i) for i in joined.split(",")] if joined else []
 
-    def row(self, text: str) -> tuple[int, str, str]:
-        """(number of ids, ids as decimals joined by commas, decoded text)."""
-        found = self.chunks(text)
-        digits = ",".join(map(self.digits.__getitem__, found))
-        decoded = "".join(map(self.decoded.__getitem__, found))
-        return sum(map(self.count.__getitem__, found)), digits, decoded[1:]
+
+def groups(values, size: int = 1 << 20):
+    """Lists of texts (null: empty) of about ``size`` characters; a longer text stands alone, whole."""
+    part, total = [], 0
+    for v in values:
+        v = v.as_py() or ""
+        if part and total + len(v) > size:
+            yield part
+            part, total = [], 0
+        part.append(v)
+        total += len(v)
+    if part:
+        yield part
 
 
 def table_of(model: str, table_rows: int) -> PieceTable:
@@ -77,7 +88,7 @@ def table_of(model: str, table_rows: int) -> PieceTable:
     return _tables[key]
 
 
-def encode_decode(docs: DataFrame, model: str, text_col: str = "text", keep: list[str] | None = None, outputs: tuple[str, ...] = ("n_tokens", "ids", "decoded"), table_rows: int = 250_000) -> DataFrame:
+def encode_decode(docs: DataFrame, model: str, text_col: str = "text", keep: list[str] | None = None, outputs: tuple[str, ...] = ("n_tokens", "ids", "decoded"), table_rows: int = 400_000) -> DataFrame:
     """Encode and decode every whole text (null or empty: no ids, empty text).
 
     Returns the columns ``keep`` (default: all but those named as an output) and of ``outputs``:
@@ -103,10 +114,10 @@ def encode_decode(docs: DataFrame, model: str, text_col: str = "text", keep: lis
         for batch in batches:
             at = batch.schema.get_field_index("__text")
             out = {c: [] for c in outputs}
-            for value in batch.column(at):
-                got = table.row(value.as_py() or "")
-                for c in outputs:
-                    out[c].append(make[c](*got))
+            for texts in groups(batch.column(at)):
+                for got in table.rows(texts):
+                    for c in outputs:
+                        out[c].append(make[c](*got))
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + [pa.array(out[c], arrow[c]) for c in outputs], names=[*keep, *outputs])
 
     return docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text_col}`"].alias("__text")).mapInArrow(run, schema)
