@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, mixing, mixing_sql, pieces_codec, telephony
+from . import langid, licenses, mixing, mixing_sql, pieces_codec, simhash, telephony
+from .store import materialize
 
 #: Where the public tokenizers' files are; they are never copied into this repository.
 TOKENIZERS = os.environ.get("DOCLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -17,6 +18,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprints, and for every 50th id the number of other documents within the Hamming radius."""
+    prints = materialize(simhash.fingerprints(_table(spark, sf_dir, "documents")), "fingerprints")
+    out = simhash.search(prints, F.col("doc_id") % 50 == 0)
+    return out.select("doc_id", "n_chars", "edited_sha256", simhash._hex("lo", "hi").alias("fingerprint"), simhash._hex("edited_lo", "edited_hi").alias("edited_fingerprint"), "near_edited", "near_next", "n_within")
+
+
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces_codec.encode_decode(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", keep=["doc_id"], outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
@@ -41,5 +49,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_pieces, op4_telephony, op6_licenses, op8_language, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_pieces, op4_telephony, op6_licenses, op8_language, op9_mixing)}
 ORACLES = {"op9_mixing": mixing_sql.OP9}
