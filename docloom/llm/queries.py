@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, mixing, mixing_sql, pieces_codec, simhash, telephony
+from . import langid, licenses, mixing, mixing_sql, neardup, pieces_codec, simhash, telephony
 from .store import materialize
 
 #: Where the public tokenizers' files are; they are never copied into this repository.
@@ -34,6 +34,10 @@ def op4_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telephony.store(_table(spark, sf_dir, "documents"), keep=["doc_id"], outputs=outputs)
 
 
+def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -49,5 +53,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_pieces, op4_telephony, op6_licenses, op8_language, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_pieces, op4_telephony, op5_neardup, op6_licenses, op8_language, op9_mixing)}
 ORACLES = {"op9_mixing": mixing_sql.OP9}
