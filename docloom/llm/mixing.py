@@ -40,38 +40,67 @@ def targets(sized: DataFrame, weights: tuple[int, ...], limit: int) -> DataFrame
     return per.select("src", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Copies of each document that bring every source to its share of all words.
+def _cell(id_col: str):
+    """The upper LEVELS * BITS bits of a hash of the id."""
+    h = F.conv(F.substring(F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+    return F.shiftright(h, 60 - LEVELS * BITS)
 
-    Sources in code-point order (null is a source of its own, last) weigh ``weights``, repeating,
-    and share 100% of all words; a target stops at ``limit`` times its source's words and the excess
-    is shared again. Every document of a source is taken floor(target / words) times, and once more
-    if its hash lies under the source's threshold. The hash is of the id, so rows with one id are
-    taken alike and reruns agree; a null id hashes as an empty string. Texts without words and null
-    texts have size 0 and are copied like their neighbours. Empty tables give empty tables.
 
-    Returns one row per input row: doc_id, size, source_size, target, copies, taken.
+def plan(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int = 3) -> DataFrame:
+    """Per source (src): source_size, target, copies, cut: documents are taken copies times, once more below the cut.
+
+    sized: one row a document with src, size, cell.
     """
-    h = F.conv(F.substring(F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
-    sized = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("src"), words(f"`{text_col}`").alias("size"), F.shiftright(h, 60 - LEVELS * BITS).alias("cell"))
-    sized = materialize(sized, "sizes")
     per = materialize(targets(sized, weights, limit), "targets")
     per = per.withColumn("copies", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
-    bound = per.select("src", "source_size", "target", "copies", (F.col("target") - F.col("copies") * F.col("source_size")).alias("rest"), F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("under"))
+    bound = per.select("src", (F.col("target") - F.col("copies") * F.col("source_size")).alias("rest"), F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("under"))
     for level in range(1, LEVELS + 1):
         shift = BITS * (LEVELS - level)
         b = small(bound.select(F.col("src").alias("b_src"), "prefix"))
-        inside = sized.join(b, sized.src.eqNullSafe(F.col("b_src")) & (F.shiftright("cell", shift + BITS) == F.col("prefix")), "inner")
+        inside = sized.join(b, sized["src"].eqNullSafe(F.col("b_src")) & (F.shiftright("cell", shift + BITS) == F.col("prefix")), "inner")
         hist = inside.groupBy("src", F.shiftright("cell", shift).alias("at")).agg(F.sum("size").alias("n"))
         running = Window.partitionBy("src").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         hist = hist.withColumn("upto", F.sum("n").over(running)).withColumnRenamed("src", "h_src")
-        met = hist.join(bound, F.col("h_src").eqNullSafe(bound.src), "inner").where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("n") <= F.col("rest")))
-        found = met.select("src", "source_size", "target", "copies", (F.col("rest") - (F.col("upto") - F.col("n"))).alias("rest"), F.col("at").alias("prefix"), F.col("n").alias("under"))
+        met = hist.join(bound, F.col("h_src").eqNullSafe(bound["src"]), "inner").where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("n") <= F.col("rest")))
+        found = met.select("src", (F.col("rest") - (F.col("upto") - F.col("n"))).alias("rest"), F.col("at").alias("prefix"), F.col("n").alias("under"))
         bound = materialize(found, f"bound{level}")
     # At the last level the whole boundary cell is taken if that lies nearer to the budget.
     cut = bound.select(F.col("src").alias("c_src"), (F.col("prefix") + F.when(F.col("under") - F.col("rest") < F.col("rest"), 1).otherwise(0)).alias("cut"))
-    plan = per.join(cut, per.src.eqNullSafe(F.col("c_src")), "left").select(F.col("src").alias("p_src"), "source_size", "target", "copies", F.coalesce("cut", F.lit(0)).alias("cut"))
-    plan = small(materialize(plan, "plan"))
-    out = sized.join(plan, sized.src.eqNullSafe(F.col("p_src")), "inner")
-    times = F.col("copies") + F.when(F.col("cell") < F.col("cut"), 1).otherwise(0)
-    return out.select("doc_id", "size", "source_size", "target", times.cast("long").alias("copies"), (times * F.col("size")).cast("long").alias("taken"), F.col("src").alias("source"))
+    out = per.join(cut, per["src"].eqNullSafe(F.col("c_src")), "left").select("src", "source_size", "target", "copies", F.coalesce("cut", F.lit(0)).alias("cut"))
+    return materialize(out, "plan")
+
+
+def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, src, size, cell of each row, as a table: texts are read once."""
+    return materialize(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("src"), words(f"`{text_col}`").alias("size"), _cell(id_col).alias("cell")), "sizes")
+
+
+def copies_by(rows: DataFrame, per_source: DataFrame, source, cell) -> DataFrame:
+    """rows with __copies, __source_size and __target from their source's plan."""
+    p = small(per_source.select(F.col("src").alias("__p"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), F.col("copies").alias("__base"), F.col("cut").alias("__cut")))
+    out = rows.join(p, source.eqNullSafe(F.col("__p")), "inner")
+    return out.withColumn("__copies", (F.col("__base") + F.when(cell < F.col("__cut"), 1).otherwise(0)).cast("long"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Copies of each document that bring every source to its share of all words.
+
+    Sources in code-point order (null is a source of its own, last) weigh ``weights``, repeating,
+    and share 100% of all words; a target stops at ``limit`` times its source's words and the excess
+    is shared again. Every document of a source is taken floor(target / words) times, and once more
+    if its hash lies under the source's threshold. The hash is of the id, so rows with one id are
+    taken alike and reruns agree; a null id hashes as an empty string. Texts without words and null
+    texts have size 0 and are copied like their neighbours. Empty tables give empty tables.
+
+    Returns one row per input row: doc_id, source, size, source_size, target, copies, taken.
+    """
+    sized = sizes(docs, id_col, text_col, source_col)
+    out = copies_by(sized, plan(sized, weights, limit), sized["src"], F.col("cell"))
+    return out.select("doc_id", F.col("src").alias("source"), "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__copies").alias("copies"), (F.col("__copies") * F.col("size")).alias("taken"))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mix itself: the rows of docs, each as often as ``mix`` says, with the columns of docs."""
+    per_source = plan(sizes(docs, id_col, text_col, source_col), weights, limit)
+    out = copies_by(docs, per_source, docs[f"`{source_col}`"], _cell(id_col)).where("__copies > 0")
+    return out.select(*[docs[f"`{c}`"] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")

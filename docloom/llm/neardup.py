@@ -29,6 +29,10 @@ COORDS = ROWS * BANDS
 SHINGLE, PERCENT = 2, 80
 #: Ids up to which texts to be verified are picked by a broadcast; beyond it by a shuffle.
 PICKED = 500_000
+#: Coordinates of the sharper sketch, and how far below the similarity its estimate may lie (5 standard deviations at 0.8).
+FINE, MARGIN = 1024, 0.06
+#: Nodes in a block of a bucket.
+TILE = 256
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 GOLD = 0x9E3779B97F4A7C15
 
@@ -181,7 +185,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = member.join(twice, member["doc_id"] == twice["id"]).select(F.col("node").alias("u"), F.col("lo").alias("v")).where("u <> v")
     links = materialize(links.union(own), "all-links")
     part = components(links)
-    rest = unresolved(shared, part, star)
+    rest = unresolved(docs, member, shared, part, star, shingle, percent)
     if rest is not None:
         part = components(links.union(verified(docs, rest, shingle, percent)))
     part = part.select(F.col("id").alias("node_id"), "component")
@@ -190,16 +194,62 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def unresolved(shared: DataFrame, part: DataFrame, tried: DataFrame) -> DataFrame | None:
-    """Pairs of nodes that share a bucket but no component and weren't checked yet; None if there are none."""
+def _fine(docs: DataFrame, shingle: int) -> DataFrame:
+    """(id, fine): a byte of each of FINE sketch coordinates, for sharper estimates."""
+    def run(batches):
+        for batch in batches:
+            buf, offs = flat(batch.column(1))
+            rows = [(mix(sketch(s, FINE)) >> U(56)).astype(np.uint8).tobytes() if len(s) else None for s in shingle_sets(buf, offs, shingle)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["id", "fine"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "id bigint, fine binary")
+
+
+def _plausible(table: pa.Table, least: float) -> pa.Table:
+    """Pairs (u, v) of one bucket's tile that lie in different components and may be similar enough, by their sketches.
+
+    A pair comes out of the first bucket alone that both share.
+    """
+    key, x, y = (table.column(c)[0].as_py() for c in ("key", "x", "y"))
+    node, comp, block = (table.column(c).to_numpy() for c in ("node", "c", "block"))
+    fine = np.stack([np.frombuffer(b.as_buffer(), np.uint8) for b in table.column("fine")])
+    bands = np.array(table.column("bands").to_pylist(), np.int64)
+    us, vs = [], []
+    for i in range(len(node)):
+        rest = slice(i + 1, None) if x == y else np.flatnonzero(block == y)
+        if x != y and block[i] != x:
+            continue
+        agree = (fine[rest] == fine[i]).mean(1)
+        same = bands[rest] == bands[i]
+        ok = (comp[rest] != comp[i]) & ((agree - 1 / 256) / (1 - 1 / 256) >= least) & (bands[i][same.argmax(1)] == key) & same.any(1)
+        other = node[rest][ok]
+        us.append(np.maximum(other, node[i]))
+        vs.append(np.minimum(other, node[i]))
+    u, v = (np.concatenate(w) if w else np.zeros(0, np.int64) for w in (us, vs))
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def unresolved(docs: DataFrame, member: DataFrame, shared: DataFrame, part: DataFrame, tried: DataFrame, shingle: int, percent: int) -> DataFrame | None:
+    """Pairs of nodes that share a bucket but no component, weren't checked yet and may reach the similarity; None if there are none.
+
+    Buckets are worked through in tiles of two blocks of about TILE nodes, whatever their size.
+    """
     held = shared.join(part, shared["node"] == part["id"], "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     held = materialize(held, "held")
     mixed = held.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi AND size > 2")
-    mixed = materialize(mixed.select(F.col("key").alias("k")), "mixed")
+    mixed = materialize(mixed.select(F.col("key").alias("k"), "size"), "mixed")
     if not mixed.limit(1).count():
         return None
-    held = materialize(held.join(mixed, held["key"] == mixed["k"]).select("key", "node", "c"), "held")
-    x, y = held.select("key", F.col("node").alias("v"), F.col("c").alias("d")), held.select("key", F.col("node").alias("u"), "c")
-    pairs = x.join(y, (x["key"] == y["key"]) & (F.col("v") < F.col("u")) & (F.col("c") != F.col("d"))).select("u", "v").distinct()
+    held = materialize(held.join(mixed, held["key"] == mixed["k"]).select("key", "node", "c", F.ceil(F.col("size") / TILE).cast("int").alias("blocks")), "held")
+    ids = small(materialize(held.select(F.col("node").alias("id")).distinct(), "picked"), PICKED)
+    fine = _fine(docs.join(ids, docs["doc_id"] == ids["id"], "left_semi"), shingle)
+    fine = fine.join(member.where("bands IS NOT NULL").select("doc_id", "bands"), F.col("id") == F.col("doc_id")).select("id", "fine", "bands")
+    fine = materialize(fine, "fine")
+    held = held.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("z", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    held = held.select("key", "node", "c", "block", F.least("block", "z").alias("x"), F.greatest("block", "z").alias("y"))
+    tiles = held.join(fine, held["node"] == fine["id"]).select("key", "x", "y", "block", "node", "c", "fine", "bands")
+    least = percent / 100 - MARGIN
+    pairs = tiles.groupBy("key", "x", "y").applyInArrow(lambda t: _plausible(t, least), "u bigint, v bigint").distinct()
     pairs = materialize(pairs.join(tried, ["u", "v"], "left_anti"), "rest")
+    release(fine)
     return pairs if pairs.limit(1).count() else None

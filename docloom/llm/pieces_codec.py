@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -106,7 +107,7 @@ def encode_decode(docs: DataFrame, model: str, text_col: str = "text", keep: lis
         table = table_of(model, table_rows)
         make = {
             "n_tokens": lambda n, d, t: n,
-            "ids": lambda n, d, t: [int(i) for i in d.split(",")] if d else [],
+            "ids": lambda n, d, t: np.fromstring(d, np.int32, sep=",") if d else [],
             "decoded": lambda n, d, t: t,
             "ids_sha256": lambda n, d, t: hashlib.sha256(d.encode()).hexdigest(),
             "decoded_sha256": lambda n, d, t: hashlib.sha256(t.encode()).hexdigest(),

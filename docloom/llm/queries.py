@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, mixing, mixing_sql, neardup, pieces_codec, simhash, telephony
+from . import htmltext, langid, licenses, mixing, mixing_sql, neardup, pieces_codec, repeats, simhash, telephony
 from .store import materialize
 
 #: Where the public tokenizers' files are; they are never copied into this repository.
@@ -42,6 +42,11 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~langid.held_out()))
@@ -53,5 +58,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_pieces, op4_telephony, op5_neardup, op6_licenses, op8_language, op9_mixing)}
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(_table(spark, sf_dir, "pages"), htmltext.train_default(), keep=["page_id", "url"])
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_pieces, op4_telephony, op5_neardup, op6_licenses, op7_repeats, op8_language, op9_mixing, op10_html)}
 ORACLES = {"op9_mixing": mixing_sql.OP9}
