@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import BASE, U, flat, mix, pieces, span_hash
-from .store import bytes_of_text, materialize, release
+from .store import bytes_of_text, free_shuffles, materialize, release
 from .suffixes import Suffixes, same_bytes
 
 WIDTH, CORE = 50, 24
 REACH = WIDTH - CORE + 1
 #: Bytes of text in a block; documents from which on a minimizer counts as very frequent.
-BLOCK_BYTES, FREQUENT = 8 << 20, 4096
+BLOCK_BYTES, FREQUENT = 4 << 20, 4096
 PIECE = 1 << 18
 NO_ID = np.iinfo(np.int64).max
 
@@ -199,7 +199,7 @@ def span_hash_pieces(buf, start, length, step: int = 1 << 20):
 
 
 def send_stretches(table: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
-    """Pass 2, in a block: stretches for the buckets, and (bucket -1) those that the block has settled itself."""
+    """Pass 2, in a block: stretches for the buckets, and under a negative bucket those that the block has settled itself."""
     names = ["bucket", "block", "keys", "ids", "pos", "strings", "text"]
     types = (pa.int32(), pa.int32(), *[pa.binary()] * 5)
     if not table.num_rows or not replies.num_rows:
@@ -226,7 +226,7 @@ def send_stretches(table: pa.Table, replies: pa.Table, buckets: int) -> pa.Table
     owner = ids[row]
     done, _ = _settle(buf, start, count, owner)
     full = ((np.uint64(1) << count.astype(np.uint64)) - U(1)).astype(np.uint32)
-    rows = [(-1, block, b"", b"", start[done].astype(np.uint32).tobytes(), full[done].tobytes(), b"")] if done.any() else []
+    rows = [(-1 - block, block, b"", b"", start[done].astype(np.uint32).tobytes(), full[done].tobytes(), b"")] if done.any() else []
     rest = np.flatnonzero(~done)
     bucket = _bucket(key[rest], buckets)
     order = np.argsort(bucket, kind="stable")
@@ -239,6 +239,8 @@ def send_stretches(table: pa.Table, replies: pa.Table, buckets: int) -> pa.Table
 
 def least_ids(table: pa.Table) -> pa.Table:
     """Pass 2, in a bucket: (block, pos, strings): which strings of each stretch start in a document with a smaller id."""
+    if table.column("bucket")[0].as_py() < 0:
+        return table.select(["block", "pos", "strings"])
     column = lambda c, t: [np.frombuffer(x.as_py(), t) for x in table.column(c)]
     blocks = table.column("block").to_pylist()
     keys = column("keys", np.uint64)
@@ -352,11 +354,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bare = docs.select(*own)
     listed = bare.groupBy("__block").applyInArrow(lambda t: list_minimizers(t, buckets), "bucket int, block int, keys binary, docs binary")
     known = materialize(listed.groupBy("bucket").applyInArrow(lambda t: answer_repeated(t, FREQUENT), "block int, keys binary, often binary"), "repeated")
+    del listed
+    free_shuffles(spark)
     sent = bare.groupBy("__block").cogroup(known.groupBy("block")).applyInArrow(lambda t, r: send_stretches(t, r, buckets), SENT)
-    sent = materialize(sent, "stretches")
-    found = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(least_ids, "block int, pos binary, strings binary")
-    found = materialize(found.union(sent.where("bucket < 0").select("block", "pos", "strings")), "covered")
-    release(known, sent)
+    found = materialize(sent.groupBy("bucket").applyInArrow(least_ids, "block int, pos binary, strings binary"), "covered")
+    release(known)
+    del sent
+    free_shuffles(spark)
     types = dict(zip(docs.columns, (f.dataType.simpleString() for f in docs.schema)))
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + ["n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_text string"])
     whole = docs.select(*own, *[docs[f"`{c}`"] for c in keep])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -42,6 +43,12 @@ def release(*tables: DataFrame) -> None:
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if the (materialized) table has at most ``limit`` rows, else leave it to a shuffle join."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
