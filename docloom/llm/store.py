@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -13,6 +12,10 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 20_000
 
 
+#: Spark drops a query's shuffle files when it ends: what follows reads the written table.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only where none is configured (local tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -27,7 +30,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: later steps survive lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/docloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._docloom_path = path
     return out
@@ -43,12 +51,6 @@ def release(*tables: DataFrame) -> None:
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if the (materialized) table has at most ``limit`` rows, else leave it to a shuffle join."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
