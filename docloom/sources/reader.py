@@ -64,7 +64,7 @@ def parse_documents(files: DataFrame, form: str = "auto", offset: int = 1, limit
                 if got["error"] and mode == "FAILFAST":
                     raise DocumentError(f"{path}: {got['error']}")
                 rows.append({"path": path, "format": kind} | got)
-            yield pd.DataFrame(rows, columns=["path", "format", "content", "total_lines", "pages", "truncated", "warnings", "error"]).astype({"total_lines": "Int64", "pages": "Int32"})
+            yield pd.DataFrame(rows, columns=["path", "format", "content", "total_lines", "pages", "truncated", "warnings", "error"], dtype=object)
 
     return ready.mapInPandas(run, SCHEMA)
 
