@@ -32,7 +32,7 @@ PICKED = 500_000
 #: Coordinates of the sharper sketch, and how far below the similarity its estimate may lie (5 standard deviations at 0.8).
 FINE, MARGIN = 1024, 0.06
 #: Nodes in a block of a bucket.
-TILE = 256
+TILE = 2048
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 GOLD = 0x9E3779B97F4A7C15
 
@@ -216,12 +216,14 @@ def _plausible(table: pa.Table, least: float) -> pa.Table:
     bands = np.array(table.column("bands").to_pylist(), np.int64)
     us, vs = [], []
     for i in range(len(node)):
-        rest = slice(i + 1, None) if x == y else np.flatnonzero(block == y)
         if x != y and block[i] != x:
             continue
+        rest = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1 if x == y else np.flatnonzero((block == y) & (comp != comp[i]))
+        if not len(rest):
+            continue
         agree = (fine[rest] == fine[i]).mean(1)
         same = bands[rest] == bands[i]
-        ok = (comp[rest] != comp[i]) & ((agree - 1 / 256) / (1 - 1 / 256) >= least) & (bands[i][same.argmax(1)] == key) & same.any(1)
+        ok = ((agree - 1 / 256) / (1 - 1 / 256) >= least) & (bands[i][same.argmax(1)] == key) & same.any(1)
         other = node[rest][ok]
         us.append(np.maximum(other, node[i]))
         vs.append(np.minimum(other, node[i]))
