@@ -66,7 +66,7 @@ def plan(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int = 3)
         bound = materialize(found, f"bound{level}")
     # At the last level the whole boundary cell is taken if that lies nearer to the budget.
     cut = bound.select(F.col("src").alias("c_src"), (F.col("prefix") + F.when(F.col("under") - F.col("rest") < F.col("rest"), 1).otherwise(0)).alias("cut"))
-    out = per.join(cut, per["src"].eqNullSafe(F.col("c_src")), "left").select("src", "source_size", "target", "copies", F.coalesce("cut", F.lit(0)).alias("cut"))
+    out = per.join(cut, per["src"].eqNullSafe(F.col("c_src")), "left").select("src", "source_size", "target", "copies", F.when(F.col("copies") < limit, F.coalesce("cut", F.lit(0))).otherwise(0).alias("cut"))
     return materialize(out, "plan")
 
 
