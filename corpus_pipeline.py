@@ -16,10 +16,10 @@ PICKED = 500_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or with no language for half of their letters, go."""
+    """Documents without a letter (und) go; mixed-language documents stay."""
     model = langid.train(docs.where(~langid.held_out()))
     out = langid.predict(docs, model)
-    return out.where("lang_pred <> 'und' AND score >= 0.5").select(*docs.columns)
+    return out.where("lang_pred <> 'und'").select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
