@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, langid, licenses, mixing, mixing_sql, neardup, pieces_codec, repeats, simhash, telephony
+from . import htmltext, langid, licenses, mixing, mixing_sql, neardup, pieces_codec, repeats, simhash, telephony, token_counts
 from .store import materialize
 
 #: Where the public tokenizers' files are; they are never copied into this repository.
@@ -25,6 +25,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chars", "edited_sha256", simhash._hex("lo", "hi").alias("fingerprint"), simhash._hex("edited_lo", "edited_hi").alias("edited_fingerprint"), "near_edited", "near_next", "n_within")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces_codec.encode_decode(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", keep=["doc_id"], outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
@@ -62,5 +66,5 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(_table(spark, sf_dir, "pages"), htmltext.train_default(), keep=["page_id", "url"])
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_pieces, op4_telephony, op5_neardup, op6_licenses, op7_repeats, op8_language, op9_mixing, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_pieces, op4_telephony, op5_neardup, op6_licenses, op7_repeats, op8_language, op9_mixing, op10_html)}
 ORACLES = {"op9_mixing": mixing_sql.OP9}
