@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.llm import htmltext, langid, licenses, mixing, neardup, pieces_codec, queries, repeats, simhash, suffixes, telephony
+from docloom.llm import htmltext, langid, licenses, mixing, neardup, pieces_codec, queries, repeats, simhash, suffixes, telephony, token_counts
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_bytes string, size string, score string"
 LONG = " ".join(f"word{k % 977} w{k * k % 463}" for k in range(30_000))
@@ -77,6 +77,33 @@ def test_pieces(spark, docs):
         assert table.encode(s) == sp.encode(s) and table.row(s)[2] == sp.decode(sp.encode(s))
 
 
+def test_token_counts(spark, docs):
+    import json
+
+    vocabulary = f"{queries.TOKENIZERS}/byte_bpe_50k.json"
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]  # bytes that stand for themselves in the vocabulary
+    byte = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in own)}
+    tokens = {i: bytes(byte[c] for c in t) for t, i in json.load(open(vocabulary))["model"]["vocab"].items() if t != "<|endoftext|>"}
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(vocabulary)
+    t.encode_special_tokens = True
+    extra = [(300, "a\n\n\n  b  \n\t c\r\n"), (301, "<|endoftext|>\nx"), (302, "\n"), (303, "é🙂\n日本\u2028z\n\n"), (304, "x \n y\n" * 3000)]
+    both = docs.select("doc_id", "text", "n_bytes").union(spark.createDataFrame([(d, x, "y") for d, x in extra], "doc_id bigint, text string, n_bytes string"))
+    want = []
+    for d, text in TEXTS + extra:
+        raw, at, line = (text or "").encode(), 0, 0
+        lines = [0] * (raw.count(b"\n") + 1)
+        for i in t.encode(text or "", add_special_tokens=False).ids:  # a token's line by the bytes before it
+            lines[line] += 1
+            line += tokens[i].count(b"\n")
+            at += len(tokens[i])
+        assert at == len(raw)
+        want.append((d, sum(lines), len(lines), lines))
+    assert rows(token_counts.count(both, vocabulary), "doc_id", "n_tokens", "n_sections", "line_tokens") == sorted(want, key=repr)
+    assert token_counts.count(docs.limit(0), vocabulary).count() == 0
+
+
 def test_telephony(spark, docs):
     out = telephony.store(docs, keep=["doc_id", "text"])
     for r in out.collect():
