@@ -26,7 +26,7 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return token_counts.count(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,7 +80,7 @@ def test_pieces(spark, docs):
 def test_token_counts(spark, docs):
     import json
 
-    vocabulary = f"{queries.TOKENIZERS}/byte_bpe_50k.json"
+    vocabulary, ranks = f"{queries.TOKENIZERS}/byte_bpe_50k.json", f"{queries.TOKENIZERS}/byte_bpe_50k.tiktoken"
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]  # bytes that stand for themselves in the vocabulary
     byte = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in own)}
     tokens = {i: bytes(byte[c] for c in t) for t, i in json.load(open(vocabulary))["model"]["vocab"].items() if t != "<|endoftext|>"}
@@ -88,7 +88,7 @@ def test_token_counts(spark, docs):
 
     t = Tokenizer.from_file(vocabulary)
     t.encode_special_tokens = True
-    extra = [(300, "a\n\n\n  b  \n\t c\r\n"), (301, "<|endoftext|>\nx"), (302, "\n"), (303, "é🙂\n日本\u2028z\n\n"), (304, "x \n y\n" * 3000)]
+    extra = [(300, "a\n\n\n  b  \n\t c\r\n"), (301, "<|endoftext|>\nx"), (302, "\n"), (303, "é🙂\n日本\u2028z\n\n"), (304, "x \n y\n" * 3000), (305, "a" + " \n" * 600_000 + "b"), (306, " " * 1_200_000)]
     both = docs.select("doc_id", "text", "n_bytes").union(spark.createDataFrame([(d, x, "y") for d, x in extra], "doc_id bigint, text string, n_bytes string"))
     want = []
     for d, text in TEXTS + extra:
@@ -100,8 +100,8 @@ def test_token_counts(spark, docs):
             at += len(tokens[i])
         assert at == len(raw)
         want.append((d, sum(lines), len(lines), lines))
-    assert rows(token_counts.count(both, vocabulary), "doc_id", "n_tokens", "n_sections", "line_tokens") == sorted(want, key=repr)
-    assert token_counts.count(docs.limit(0), vocabulary).count() == 0
+    assert rows(token_counts.count(both, ranks), "doc_id", "n_tokens", "n_sections", "line_tokens") == sorted(want, key=repr)
+    assert token_counts.count(docs.limit(0), ranks).count() == 0
 
 
 def test_telephony(spark, docs):
