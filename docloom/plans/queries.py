@@ -61,9 +61,9 @@ def q_text_truncate(spark, d):
     return _t(spark, d, "documents").select("doc_id", C.truncate(F.col("text"), 2000).alias("content"), (F.char_length("text") > 2000).alias("truncated"))
 
 
-@query("SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS n_lines, length(text)::BIGINT AS utf16 FROM documents WHERE NOT regexp_matches(text, '[\\x{10000}-\\x{10FFFF}]')")
+@query("SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS n_lines, (length(text) + length(regexp_replace(text, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')))::BIGINT AS utf16 FROM documents")
 def q_line_count(spark, d):
-    return _t(spark, d, "documents").where(~F.col("text").rlike("[\\x{10000}-\\x{10FFFF}]")).select("doc_id", C.line_count(F.col("text")).alias("n_lines"), C.utf16_length(F.col("text")).alias("utf16"))
+    return _t(spark, d, "documents").select("doc_id", C.line_count(F.col("text")).alias("n_lines"), C.utf16_length(F.col("text")).alias("utf16"))
 
 
 @query(f"SELECT doc_id, unnest(p) AS paragraph, generate_subscripts(p, 1)::BIGINT AS para_no FROM (SELECT doc_id, {PARAGRAPHS} AS p FROM documents)")
@@ -152,9 +152,9 @@ def q_best_cover(spark, d):
     return R.best_cover(_t(spark, d, "documents").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")), ["lang"], "n", "source")
 
 
-@query("SELECT min(k) AS first, max(k) AS last, count(*)::BIGINT AS n FROM (SELECT k, k - row_number() OVER (ORDER BY k) AS g FROM (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderkey % 7 <> 3)) GROUP BY g")
+@query("SELECT min(k) AS first, max(k) AS last, count(*)::BIGINT AS n FROM (SELECT k, k - row_number() OVER (ORDER BY k) AS g FROM (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey IS NOT NULL)) GROUP BY g")
 def q_islands(spark, d):
-    return R.islands(_t(spark, d, "orders").where("o_orderkey % 7 <> 3"), [], "o_orderkey")
+    return R.islands(_t(spark, d, "orders").where("o_custkey IS NOT NULL"), [], "o_custkey")
 
 
 @query("SELECT p_brand, p_partkey, ((row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1) // 100)::BIGINT AS chunk FROM part")
@@ -213,12 +213,12 @@ def q_cell_ref(spark, d):
     return pairs.select("k", at.alias("at")).select("k", "at.col", "at.row")
 
 
-MIXED = "SELECT doc_id AS id, trim(left(text, 8)) AS s FROM documents UNION ALL SELECT o_orderkey, ' ' || o_orderkey::VARCHAR || ' ' FROM orders UNION ALL SELECT p_partkey, '-.' || p_partkey::VARCHAR || 'e' || (p_partkey % 400)::VARCHAR FROM part UNION ALL SELECT p_partkey, '0' || p_partkey::VARCHAR || '.' FROM part"
+MIXED = "SELECT doc_id AS id, text AS s FROM documents UNION ALL SELECT o_orderkey, ' ' || o_orderkey::VARCHAR || ' ' FROM orders UNION ALL SELECT p_partkey, '-.' || p_partkey::VARCHAR || 'e' || (p_partkey % 400)::VARCHAR FROM part UNION ALL SELECT p_partkey, '0' || p_partkey::VARCHAR || '.' FROM part"
 
 
-@query(f"SELECT id, s, CASE WHEN regexp_full_match(trim(s), '{NUMBER}') AND isfinite(try_cast(trim(s) AS DOUBLE)) THEN trim(s) END AS number FROM ({MIXED})")
+@query(f"SELECT id, s, CASE WHEN length(t) <= 64 AND regexp_full_match(t, '{NUMBER}') AND isfinite(try_cast(t AS DOUBLE)) THEN t END AS number FROM (SELECT *, trim(s, {SPACES}) AS t FROM ({MIXED}))")
 def q_numeric_literal(spark, d):
-    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.trim(F.left("text", F.lit(8))).alias("s"))
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("s"))
     orders = _t(spark, d, "orders").select("o_orderkey", F.concat(F.lit(" "), F.col("o_orderkey").cast("string"), F.lit(" ")))
     p = F.col("p_partkey").cast("string")
     part = _t(spark, d, "part")
@@ -226,9 +226,9 @@ def q_numeric_literal(spark, d):
     return mixed.select("id", "s", C.numeric_literal(F.col("s")).alias("number"))
 
 
-@query(f"SELECT doc_id, CASE WHEN n = '' THEN 'Sheet1' ELSE left(n, 31) END AS name FROM (SELECT doc_id, trim(regexp_replace(left(text, 40), '[\\\\/?*\\[\\]:]', ' ', 'g'), {SPACES} || '''') AS n FROM documents)")
+@query(f"SELECT doc_id, CASE WHEN n = '' THEN 'Sheet1' ELSE left(n, 31) END AS name FROM (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '[\\\\/?*\\[\\]:]', ' ', 'g'), {SPACES} || '''') AS n FROM documents)")
 def q_sheet_name(spark, d):
-    return _t(spark, d, "documents").select("doc_id", C.sheet_name(F.left("text", F.lit(40))).alias("name"))
+    return _t(spark, d, "documents").select("doc_id", C.sheet_name(F.col("text")).alias("name"))
 
 
 @query("SELECT page_id, n AS name, CASE WHEN page_id % 3 = 0 THEN 'csv' WHEN page_id % 3 = 1 THEN 'xlsx' ELSE 'unknown' END AS format FROM (SELECT page_id, CASE WHEN length(l) > 60 THEN left(l, 59) || '…' ELSE l END AS n FROM (SELECT page_id, list_last(regexp_split_to_array(url || CASE WHEN page_id % 3 = 0 THEN '.TXT' WHEN page_id % 3 = 1 THEN '.xls' ELSE '.bin' END, '[/\\\\]')) AS l FROM pages))")
@@ -289,4 +289,4 @@ def q_read_document(spark, d):
 
 @query()
 def q_crc32(spark, d):
-    return _t(spark, d, "documents").select("doc_id", C.crc32(F.col("text")).alias("crc"), C.utf16_hex(F.left("text", F.lit(8))).alias("utf16"))
+    return _t(spark, d, "documents").select("doc_id", C.crc32(F.col("text")).alias("crc"), C.utf16_hex(F.col("text")).alias("utf16"))
