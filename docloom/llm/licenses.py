@@ -4,7 +4,8 @@ Template tokens are ordered by their document frequency over the whole corpus, r
 can hold ``threshold`` of a template only if it has one of the template's first
 ``size - ceil(threshold * size) + 1`` tokens (prefix filter), enough distinct words (length filter)
 and enough template tokens after the first that it has (positional filter); the rest are verified
-exactly. Blocks are lines. The phrases of ``PHRASES`` are found at every place besides.
+exactly. Blocks are lines, and for each template all windows of its number of words over ``threshold``
+that lie in a row, whatever line ends they span. The phrases of ``PHRASES`` are found at every place besides.
 """
 
 from __future__ import annotations
@@ -51,15 +52,21 @@ class Scanner:
         h = span_hash(np.frombuffer(b"".join(raw), np.uint8), starts, ends)
         order = np.argsort(h)
         self.hashes, self.hash_ids = h[order], order.astype(np.int32)
-        self.templates, self.prefix = [], {}
+        self.templates, self.prefix, self.widths = [], {}, []
         for k, (label, text) in enumerate(templates):
             own = sorted({self.ids[t] for t in text.split()})
             need = math.ceil(threshold * len(own) - 1e-9)
             self.templates.append((label, frozenset(own), own, need))
+            self.widths.append(math.ceil(len(text.split()) / threshold - 1e-9))
             for i, token in enumerate(own[: len(own) - need + 1]):
                 self.prefix.setdefault(token, []).append((k, i))
         self.in_prefix = np.zeros(len(self.tokens) + 1, bool)
         self.in_prefix[list(self.prefix)] = True
+        self.own = np.zeros((len(templates), len(self.tokens) + 1), bool)  # the last column is that of id -1
+        self.starting = self.own.copy()
+        for k, (_, _, ordered, need) in enumerate(self.templates):
+            self.own[k, ordered] = True
+            self.starting[k, ordered[: len(ordered) - need + 1]] = True
 
     def token_ids(self, buf, starts, ends) -> np.ndarray:
         """Each word's template token, or -1."""
@@ -107,6 +114,48 @@ class Scanner:
                         found.append((int(lo), label, both / len(own)))
         return found
 
+    def windows(self, ids: np.ndarray, first: np.ndarray) -> list[tuple[int, int, str, float]]:
+        """(word, end, label, containment) of the best window in each run of windows at or over the threshold; first: each row's first word (n+1).
+
+        An occurrence of a template token counts for the windows that it lies in and its predecessor doesn't.
+        """
+        found = []
+        at = np.flatnonzero(self.in_prefix[ids])
+        if not len(at):
+            return found
+        row = np.searchsorted(first, at, "right") - 1
+        low, high = first[row], first[row + 1]
+        for k, (label, own, _, need) in enumerate(self.templates):
+            width = self.widths[k]
+            # prefix: the words around one of the template's first tokens; length: words of the row
+            ok = self.starting[k][ids[at]] & (high - low >= need)
+            if not ok.any():
+                continue
+            hits = at[ok]
+            begin, end = np.maximum(hits - width + 1, low[ok]), np.minimum(hits + width, high[ok])
+            fresh = np.r_[True, begin[1:] >= end[:-1]]
+            begin, end = begin[fresh], end[np.r_[fresh[1:], True]]
+            size = end - begin
+            near = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - begin, size)
+            hold = self.own[k][ids[near]]
+            place, gap, limit = near[hold], np.repeat(np.arange(len(size)), size)[hold], np.repeat(begin, size)[hold]
+            token = ids[place]
+            order = np.argsort(token, kind="stable")
+            before = np.full(len(place), -1, np.int64)
+            same = token[order[1:]] == token[order[:-1]]
+            before[order[1:][same]] = place[order[:-1][same]]
+            enter = np.maximum(np.maximum(before + 1, place - width + 1), limit)
+            # The gap of one place between stretches keeps their runs apart.
+            turn, where = np.unique(np.concatenate([enter, place + 1]) + np.r_[gap, gap], return_inverse=True)
+            count = np.cumsum(np.bincount(where, np.repeat([1, -1], len(place)), len(turn))).astype(np.int64)
+            enough = count >= need
+            run = np.flatnonzero(enough & ~np.r_[False, enough[:-1]])
+            for a, b in zip(run, np.flatnonzero(~enough & np.r_[False, enough[:-1]])):
+                best = a + int(count[a:b].argmax())
+                w = int(place[np.searchsorted(place + gap, turn[best + 1] - 1)])
+                found.append((w, min(w + width, int(first[np.searchsorted(first, w, "right")])), label, int(count[best]) / len(own)))
+        return found
+
 
 def template_tokens(templates=TEMPLATES, phrases=PHRASES) -> list[str]:
     return sorted({t for _, text in templates for t in text.split()} | {t for p, _ in phrases for t in p.split()})
@@ -139,8 +188,9 @@ def frequencies(docs: DataFrame, text_col: str = "text", templates=TEMPLATES, ph
 def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD, with_spans: bool = False) -> DataFrame:
     """Scan whole texts (null: empty): keep, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    score is the largest containment of a template in a line, 1 where a phrase stands, else 0. spans
-    (if asked): each finding's first word and label. Rows stay one to one; outputs replace input
+    score is the largest containment of a template in a line or window, 1 where a phrase stands, else 0.
+    spans (if asked): each finding's first word and label; a window is left out where it meets a line
+    that holds as much of the same template. Rows stay one to one; outputs replace input
     columns of their names; an empty table gives an empty one.
     """
     outputs = {"n_words": "bigint", "n_base": "bigint", "first_word": "bigint", "last_word": "bigint", "base_labels": "string", "labels": "string", "score": "double"} | ({"spans": "array<struct<word:int,label:string,score:double>>"} if with_spans else {})
@@ -168,8 +218,13 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None,
                     for w in at:
                         base[row[w]].append((int(w - first[row[w]]), label, 1.0))
                 more = [[] for _ in range(j - i)]
+                lined = {}
                 for w, label, score in s.blocks(ids, block):
                     more[row[w]].append((int(w - first[row[w]]), label, score))
+                    lined[int(block[w]), label] = max(score, lined.get((int(block[w]), label), 0.0))
+                for w, end, label, score in s.windows(ids, first):
+                    if all(lined.get((b, label), 0.0) < score for b in set(block[w:end].tolist())):
+                        more[row[w]].append((int(w - first[row[w]]), label, score))
                 for k in range(j - i):
                     own, at = base[k] + more[k], [w for w, _, _ in base[k]]
                     rows.append((int(first[k + 1] - first[k]), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x, _ in base[k]})), ",".join(sorted({x for _, x, _ in own})), max((x for _, _, x in own), default=0.0)) + (([{"word": w, "label": x, "score": y} for w, x, y in sorted(own)],) if with_spans else ()))

@@ -181,6 +181,48 @@ def test_licenses(spark, docs):
             assert (label in [x for _, x, _ in scanner.blocks(ids, np.zeros(len(ids), int))]) == (n >= need) or n < need
 
 
+def scanned_by_force(text, templates):
+    """Labels and score of one text over all its lines, windows and phrases."""
+    base = licenses.brute_force(text)
+    labels, best = set(filter(None, base["base_labels"].split(","))), 1.0 if base["n_base"] else 0.0
+    words = re.findall(r"[0-9a-z]+", text.lower())
+    for label, template in templates:
+        own, width = set(template.split()), math.ceil(len(template.split()) / 0.8 - 1e-9)
+        blocks = [re.findall(r"[0-9a-z]+", x) for x in text.lower().split("\n")] + [words[k : k + width] for k in range(len(words))]
+        most = max((len(own & set(b)) for b in blocks), default=0)
+        if most >= math.ceil(0.8 * len(own) - 1e-9):
+            labels.add(label)
+            best = max(best, most / len(own))
+    return ",".join(sorted(labels)), best
+
+
+def test_licenses_wrapped(spark):
+    wrapped = {
+        "bsd": "Copyright (c) A\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n1. x",
+        "mit": "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the \"Software\"), to deal",
+        "gpl": "  This program is free software: you can redistribute it and/or modify\r\n  it under the terms of the GNU General Public License as published by\r\n  the Free",
+        "isc": " * Permission to use, copy, modify, and/or distribute this software for any\n * purpose with or without fee is hereby granted, provided that",
+        "apache": "// Licensed under the Apache License, Version 2.0 (the \"License\");\n//\n// you may not use this file except in compliance with the License.",
+    }
+    one_word = [t for _, t in licenses.TEMPLATES]
+    texts = list(wrapped.items()) + [(f"{label} by word", "\n".join(t.split())) for label, t in licenses.TEMPLATES]
+    texts += [("split", one_word[4][:60]), ("split", one_word[4][60:]), ("empty", ""), ("far", "\n".join(one_word[4].replace(" and ", " and " + "x " * 9).split()))]
+    rng = np.random.default_rng(5)
+    for k in range(150):
+        parts = " ".join(one_word[i] for i in rng.integers(0, 10, 3)).split()
+        parts = [w if rng.random() < 0.9 else "other" for w in parts if rng.random() < 0.95]
+        texts.append(("random", "".join(w + ("\n" if rng.random() < 0.2 else " ") for w in parts)))
+    df = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id bigint, text string").repartition(2)
+    for templates in (licenses.TEMPLATES, (*licenses.TEMPLATES, ("short", "other"))):
+        got = {r["doc_id"]: r for r in licenses.scan(df, keep=["doc_id"], templates=templates, with_spans=True).collect()}
+        for k, (name, t) in enumerate(texts):
+            labels, score = scanned_by_force(t, templates)
+            assert (got[k]["labels"], round(got[k]["score"], 9)) == (labels, round(score, 9)), (name, t)
+            assert name not in wrapped or name in labels.split(",")
+            assert {s["label"] for s in got[k]["spans"]} == set(filter(None, labels.split(",")))
+    assert [s["label"] for s in licenses.scan(df.where("doc_id = 0"), with_spans=True).first()["spans"]] == ["bsd"]
+
+
 def repeats_by_force(texts):
     order = sorted(texts, key=lambda r: (r[0] is None, r[0] or 0))
     seen, out = {}, []
