@@ -17,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SPACES = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(32)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)||chr(65279)"
+#: The same characters as a class of Java's regular expressions.
+SPACE_CLASS = "[\\x09-\\x0D\\x20\\xA0\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{FEFF}]"
 PARAGRAPHS = f"list_filter(regexp_split_to_array(text, '\\r?\\n'), lambda x: trim(x, {SPACES}) <> '')"
 NUMBER = "[+-]?([0-9]+(\\.[0-9]+)?|\\.[0-9]+)([eE][+-]?[0-9]+)?"
 ESCAPED = "replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
@@ -279,6 +281,13 @@ def q_pdf_roundtrip(spark, d):
     return made.select("doc_id", F.regexp_replace("p.text", "[\\x09-\\x0D ]", "").alias("solid"))
 
 
+@query()
+def q_pdf_roundtrip_all(spark, d):
+    """Every document to PDF and back, all but white space; null where there is nothing to show or no font to show it."""
+    made = _t(spark, d, "documents").select("doc_id", A.pdf_text(A.pdf_build(F.lit(None).cast("string"), C.paragraphs(F.col("text")))).alias("p"))
+    return made.select("doc_id", F.regexp_replace("p.text", SPACE_CLASS, "").alias("solid"), "p.truncated")
+
+
 @query("SELECT p_brand || '.csv' AS path, 'csv' AS format, string_agg(p_partkey::VARCHAR || chr(9) || p_name, chr(10) ORDER BY p_partkey) FILTER (rn <= 3) AS content, count(*)::BIGINT AS total_lines, count(*) > 3 AS truncated FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn FROM part) GROUP BY p_brand")
 def q_read_document(spark, d):
     """CSV files of parts by brand through the reader, with a window of three lines."""

@@ -1,3 +1,5 @@
+import re
+
 import duckdb
 import pytest
 
@@ -24,3 +26,13 @@ def test_query(spark, duck, name):
     if name in ORACLES:
         quoted = ", ".join(f'"{c}"' for c in columns)
         assert rows == sorted(map(repr, duck.sql(f"SELECT {quoted} FROM ({ORACLES[name]})").fetchall()))
+
+
+def test_pdf_roundtrip_all(spark, tmp_path):
+    texts = ["plain (x) \\ ~", "Füße, così, año, l\u2019été \u20ac\u0152 \u201cx\u201d\u2013", "é\xa0ü\n\n \t\nça " + "où " * 3000, None, "", " \n\xa0", "x\U0010fffd"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["solid"], r["truncated"]) for r in QUERIES["q_pdf_roundtrip_all"](spark, str(tmp_path)).collect()}
+    assert got == {k: ("".join(t.split()), False) if t and t.strip() and "\U0010fffd" not in t else (None, None) for k, t in enumerate(texts)}
+    want = {d: re.sub(r"\s", "", t) for d, t in duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()}
+    assert any(not t.isascii() for t in want.values())
+    assert {r["doc_id"]: r["solid"] for r in QUERIES["q_pdf_roundtrip_all"](spark, SF).collect()} == want
