@@ -197,6 +197,12 @@ def q_xml_decode(spark, d):
     return _t(spark, d, "pages").where(~F.col("html").rlike("&([^a-z#]|amp[^;]|[^;&]{0,11}&|[a-z]*$)")).select("page_id", A.xml_decode("html").alias("decoded"))
 
 
+@query()
+def q_xml_decode_all(spark, d):
+    """Every page, also those with stray or unfinished ampersands."""
+    return _t(spark, d, "pages").select("page_id", A.xml_decode("html").alias("decoded"))
+
+
 @query("SELECT page_id, regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang FROM pages")
 def q_read_attr(spark, d):
     return _t(spark, d, "pages").select("page_id", C.read_attr(F.regexp_extract("html", "<html[^>]*>", 0), "lang").alias("lang"))

@@ -36,3 +36,32 @@ def test_pdf_roundtrip_all(spark, tmp_path):
     want = {d: re.sub(r"\s", "", t) for d, t in duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()}
     assert any(not t.isascii() for t in want.values())
     assert {r["doc_id"]: r["solid"] for r in QUERIES["q_pdf_roundtrip_all"](spark, SF).collect()} == want
+
+
+def decoded(s):
+    """Entities of a text, character by character."""
+    out, at = "", 0
+    while at < len(s):
+        end = s.find(";", at)
+        body = s[at + 1 : end] if s[at] == "&" and end > 0 else None
+        size = end + 1 - at
+        if body is None or sum(1 + (c > "\uffff") for c in body) > 11:
+            to, size = s[at], 1
+        elif body in ("amp", "lt", "gt", "quot", "apos"):
+            to = dict(amp="&", lt="<", gt=">", quot='"', apos="'")[body]
+        else:
+            digits, base = (body[2:], 16) if body[:2] in ("#x", "#X") else (body[1:] if body[:1] == "#" else "", 10)
+            code = int(digits, base) if digits and all(c in "0123456789abcdefABCDEF"[: 10 if base == 10 else 22] for c in digits) else -1
+            to = chr(code) if 0 <= code < 0xD800 or 0xDFFF < code <= 0x10FFFF else s[at : end + 1]
+        out, at = out + to, at + size
+    return out
+
+
+def test_xml_decode_all(spark, tmp_path):
+    texts = ["<title>&amp;&</title>", "<title>&amp</title> &lt;", "a & b &lt; c;", "&&amp;;", "&", "&;", "&amp &amp;", "x &#65;&#x1f600;&#xD800;&#;&#x;&copy;&nope", "&1234567&lt;", "&12345678&lt;", "&123456789&lt;", "&#x00000041;", "&#x000000041;", "&#x0000000041;", "&😀😀😀 &lt;", "&😀😀😀😀 &lt;", "&#0;x", "&quot;&apos;&gt;", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "page_id bigint, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    for d in (str(tmp_path), SF, "/root/testdata/sf0.01"):
+        want = {k: None if t is None else decoded(t) for k, t in duckdb.sql(f"SELECT page_id, html FROM '{d}/pages.parquet{'/*.parquet' if d == str(tmp_path) else ''}'").fetchall()}
+        assert {r["page_id"]: r["decoded"] for r in QUERIES["q_xml_decode_all"](spark, d).collect()} == want
+    assert decoded(texts[0]) == "<title>&&</title>" and decoded(texts[1]) == "<title>&amp</title> <"
+    assert [decoded(f"&{'1' * k}&lt;") for k in (8, 9)] == ["&11111111&lt;", "&111111111<"]
