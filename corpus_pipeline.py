@@ -16,10 +16,11 @@ PICKED = 500_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter (und) go; mixed-language documents stay."""
-    model = langid.train(docs.where(~langid.held_out()))
-    out = langid.predict(docs, model)
-    return out.where("lang_pred <> 'und'").select(*docs.columns)
+    """Documents without a letter (und) go, and those with most letters in scripts of no learned language; mixed-language documents stay."""
+    labelled = docs.where(~langid.held_out())
+    model = langid.train(labelled)
+    out = langid.predict(docs, model, with_letters=True).where("lang_pred <> 'und'")
+    return out.where(~langid.foreign(langid.learned_scripts(labelled))).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

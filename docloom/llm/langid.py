@@ -8,7 +8,9 @@ Viterbi pass over the words, side by side for all texts of a piece, labels spans
 
 from __future__ import annotations
 
+import functools
 import math
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -144,14 +146,15 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return Model(langs, {(r["lang"], r["w"]): r["n"] for r in counted})
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, with_spans: bool = False, penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """Label whole texts: keep, lang_pred string, score double and, if asked, spans array<struct<lang, first_word, n_words>>.
+def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, with_spans: bool = False, penalty: float = SWITCH_PENALTY, with_letters: bool = False) -> DataFrame:
+    """Label whole texts: keep, lang_pred string, score double and, if asked, spans array<struct<lang, first_word, n_words>>
+    and letters array<bigint>, the letters of each script.
 
     lang_pred is the language of most letters; score is their share. A null text or one without a
     letter gets 'und' and 0. Ties go to the language that comes first. Rows stay one to one, and an
     input column named like an output is replaced.
     """
-    outputs = {"lang_pred": "string", "score": "double"} | ({"spans": "array<struct<lang:string,first_word:int,n_words:int>>"} if with_spans else {})
+    outputs = {"lang_pred": "string", "score": "double"} | ({"spans": "array<struct<lang:string,first_word:int,n_words:int>>"} if with_spans else {}) | ({"letters": "array<bigint>"} if with_letters else {})
     keep = [c for c in (docs.columns if keep is None else keep) if c not in outputs]
     types = dict(zip(docs.columns, (f.dataType.simpleString() for f in docs.schema)))
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [f"{c} {t}" for c, t in outputs.items()])
@@ -164,7 +167,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             buf, offs = flat(column)
-            langs, scores, spans = [], [], []
+            langs, scores, spans, letters = [], [], [], []
             for i, j in pieces(offs, 4 << 20):
                 part, o = buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
                 starts, ends, first = word_spans(part, o, WORD)
@@ -179,16 +182,55 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
                     good = m.langs and total[k] and (has[k] or any(map(str.isalpha, bytes(part[o[k] : o[k + 1]]).decode())))
                     langs.append(m.langs[top[k]] if good else UNKNOWN)
                     scores.append(float(weight[k, top[k]] / total[k]) if good else 0.0)
+                    if with_letters:
+                        letters.append(_letters(bytes(part[o[k] : o[k + 1]])))
                     if with_spans:
                         row = label[first[k] : first[k + 1]] if good else label[:0]
                         cuts = np.flatnonzero(np.r_[True, row[1:] != row[:-1], True]) if len(row) else np.zeros(1, int)
                         spans.append([{"lang": m.langs[row[a]], "first_word": int(a), "n_words": int(b - a)} for a, b in zip(cuts[:-1], cuts[1:])])
-            made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())] + ([pa.array(spans, span_type)] if with_spans else [])
+            made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())] + ([pa.array(spans, span_type)] if with_spans else []) + ([pa.array(letters, pa.list_(pa.int64()))] if with_letters else [])
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + made, names=[*keep, *outputs])
 
     return docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text_col}`"].alias("__text")).mapInArrow(run, schema)
 
 
+@functools.cache
+def _letter_scripts() -> np.ndarray:
+    """The script of each code point that is a letter, SCRIPTS for all others. Latin letters count as Latin wherever they stand."""
+    out = np.full(0x110000, SCRIPTS, np.uint8)
+    for k in range(0x110000):
+        if (c := chr(k)).isalpha():
+            out[k] = 0 if "LATIN" in unicodedata.name(c, "") else SCRIPT[c.encode()[0]]
+    return out
+
+
+def _letters(raw: bytes) -> np.ndarray:
+    """Letters of each script in a whole UTF-8 text."""
+    return np.bincount(_letter_scripts()[np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)], minlength=SCRIPTS)[:SCRIPTS]
+
+
+def learned_scripts(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[int]:
+    """Scripts that hold at least 0.02 of the letters of a language, over all rows whose lang is not null."""
+
+    def run(batches):
+        total = {}
+        for batch in batches:
+            buf, offs = flat(batch.column(1))
+            for k, lang in enumerate(batch.column(0).to_pylist()):
+                total[lang] = total.get(lang, 0) + _letters(bytes(buf[offs[k] : offs[k + 1]]))
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([n.tolist() for n in total.values()], pa.list_(pa.int64()))], names=["lang", "n"])
+
+    each = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).mapInArrow(run, "lang string, n array<bigint>")
+    counts = np.array([r[1:] for r in each.groupBy("lang").agg(*[F.sum(F.col("n")[k]) for k in range(SCRIPTS)]).collect()], np.float64).reshape(-1, SCRIPTS)
+    return np.flatnonzero((counts >= 0.02 * np.maximum(1, counts.sum(1, keepdims=True))).any(0)).tolist()
+
+
+def foreign(scripts: list[int], letters: str = "letters") -> Column:
+    """Whether more of the letters (an output of predict) stand outside the scripts than in them."""
+    held = F.transform(letters, lambda n, k: F.when(k.isin(scripts), n).otherwise(-n))
+    return F.aggregate(held, F.lit(0).cast("bigint"), lambda a, x: a + x) < 0
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """The fold that training never sees."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -317,3 +317,17 @@ def test_pipeline(spark, docs, tmp_path):
     assert kept.where("doc_id IN (5, 6, 7)").count() == 0 and kept.where("doc_id = 2").count() <= 3
     assert isinstance(kept.schema["ids"].dataType, T.ArrayType)
     assert cp.run(spark, str(tmp_path)).count() == kept.count()
+
+
+def test_pipeline_language(spark):
+    import corpus_pipeline as cp
+
+    known = [(k, t, lang) for k in range(40) for lang, t in (("en", "the house of the king and his men"), ("ru", "дом царя и его люди"))]
+    new = {
+        100: "the king and царь и люди", 101: "“the” — house — … 😀😀😀😀😀😀😀😀 ☃☃☃☃☃☃☃☃☃☃", 102: "ngôi nhà của nhà vua và những người đàn ông ế ở ỡ", 103: "the house of the king 王の家", 104: "царь и люди",
+        200: "王の家と彼の男たち", 201: "το σπίτι του βασιλιά and", 202: "123 !?", 203: None, 204: "“” — 😀",
+    }
+    docs = spark.createDataFrame(known + [(k, t, None) for k, t in new.items()], "doc_id bigint, text string, lang string")
+    got = [r["doc_id"] for r in cp.language(spark, docs, "").collect()]
+    assert sorted(got) == sorted([k for k, _, _ in known] + [100, 101, 102, 103, 104])
+    assert langid.learned_scripts(docs) == [0, 2] and langid.learned_scripts(docs.where("false")) == []
