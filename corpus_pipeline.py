@@ -24,13 +24,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies stays: the one with the least id, once."""
-    found = neardup.near_duplicates(docs)
-    kept = materialize(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count(), "kept")
-    ids = small(kept.select(F.col("doc_id").alias("__kept")), PICKED)
-    out = docs.join(ids, docs["doc_id"] == ids["__kept"], "left_semi")
-    if kept.where("count > 1").limit(1).count():
-        out = out.dropDuplicates(["doc_id"])
+    """One document of each class of near copies stays: the one with the least id, of rows with one id the one with the least digest.
+
+    Rows with one id and different texts are documents of their own; of rows equal in id and text the least one stays.
+    """
+    named = docs.where("doc_id IS NOT NULL")
+    key = "doc_id"
+    if named.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        key = "__key"
+        row = F.struct(*[c for c in docs.columns if c != "doc_id"])
+        once = named.groupBy("doc_id", F.sha2("text", 256).alias("__digest")).agg(F.min(row).alias("__row")).orderBy("doc_id", "__digest")
+        named = materialize(once.select(F.monotonically_increasing_id().alias(key), "doc_id", "__row.*"), "rows")
+    found = neardup.near_duplicates(named, id_col=key)
+    kept = materialize(found.where("kept").select(F.col("doc_id").alias("__kept")), "kept")
+    out = named.join(small(kept, PICKED), named[key] == F.col("__kept"), "left_semi").select(*docs.columns)
     return out.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 

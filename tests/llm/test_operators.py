@@ -331,3 +331,26 @@ def test_pipeline_language(spark):
     got = [r["doc_id"] for r in cp.language(spark, docs, "").collect()]
     assert sorted(got) == sorted([k for k, _, _ in known] + [100, 101, 102, 103, 104])
     assert langid.learned_scripts(docs) == [0, 2] and langid.learned_scripts(docs.where("false")) == []
+
+
+def test_pipeline_repeated_ids(spark):
+    import corpus_pipeline as cp
+
+    def words(k):
+        return [f"w{k}x{j}" for j in range(60)]
+
+    a, b, c, d, e = (" ".join(words(k)) for k in range(5))
+    near = " ".join(words(0)[:-1] + ["other"])
+    rows = [
+        (1, a, "s1"), (1, b, "s1"), (1, near, "s1"), (1, a, "s0"), (1, a, "s1"),  # a and near are near copies, a stands thrice
+        (2, b, "s2"), (5, near, "s3"), (5, c, "s3"), (7, c, "s4"), (8, d, "s5"), (9, d, "s6"), (None, a, "s7"), (None, a, "s7"), (10, e, "s8"),
+    ]
+    stays = min((hashlib.sha256(t.encode()).hexdigest(), t) for t in (a, near))[1]
+    want = [(1, stays, "s0" if stays == a else "s1"), (1, b, "s1"), (5, c, "s3"), (8, d, "s5"), (None, a, "s7"), (None, a, "s7"), (10, e, "s8")]
+    for n, order in ((1, rows), (5, rows[::-1])):
+        docs = spark.createDataFrame(order, "doc_id bigint, text string, source string").repartition(n)
+        got = [tuple(r) for r in cp.near_copies(spark, docs, "").collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+    unique = docs.dropDuplicates(["doc_id"]).where("doc_id IS NOT NULL")
+    assert cp.near_copies(spark, unique, "").columns == docs.columns
+    assert cp.language(spark, docs.withColumn("lang", F.lit(None).cast("string")), "").count() == 0
