@@ -8,22 +8,36 @@ import pyarrow as pa
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 U = np.uint64
-_powers: dict[int, np.ndarray] = {}
+#: Bytes of a stretch in which prefix hashes are summed; no table of powers is longer.
+SEGMENT = 1 << 14
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, grown and kept per process."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        have = np.ones(size, np.uint64)
-        k = 1
-        while k < size:
-            have[k : 2 * k] = have[:k] * U(pow(base, k, 1 << 64))
-            k *= 2
-        if size <= 1 << 23:
-            _powers[base] = have
-    return have[:n]
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    np.cumprod(np.full(n - 1, base, np.uint64), out=out[1:])
+    return out
+
+
+_POWER, _INVERSE = _powers(BASE, SEGMENT + 1), _powers(INVERSE, SEGMENT)
+_FAR = _powers(pow(BASE, SEGMENT, 1 << 64), 1 << 17)  # BASE ** (k * SEGMENT), up to 2 GB
+
+
+def power_of(length: np.ndarray) -> np.ndarray:
+    """BASE ** length modulo 2**64, from two small tables; a length is below 2 GB, as Spark's strings are."""
+    near = _POWER[length & (SEGMENT - 1)]
+    return near * _FAR[length >> (SEGMENT.bit_length() - 1)] if len(length) and length.max() >= SEGMENT else near
+
+
+def prefix_hash(buf: np.ndarray) -> np.ndarray:
+    """n+1 polynomial hashes of the prefixes: out[k+1] = out[k] * BASE + byte + 1, modulo 2**64."""
+    out = np.zeros(len(buf) + 1, np.uint64)
+    carry = U(0)
+    for i in range(0, len(buf), SEGMENT):
+        part = buf[i : i + SEGMENT].astype(np.uint64) + U(1)
+        n = len(part)
+        out[i + 1 : i + n + 1] = np.cumsum(part * _INVERSE[:n]) * _POWER[:n] + carry * _POWER[1 : n + 1]
+        carry = out[i + n]
+    return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -54,7 +68,7 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(offs: np.ndarray, limit: int = 1 << 20):
-    """Ranges (i, j) of rows of about ``limit`` bytes; a longer row stands alone, whole."""
+    """Ranges (i, j) of rows of at most about ``limit`` bytes; a longer row stands alone, whole."""
     n, i = len(offs) - 1, 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(offs, offs[i] + limit, "right")) - 1)
@@ -90,7 +104,5 @@ def word_spans(buf: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np
 
 def span_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte spans from one prefix polynomial, equal for equal spans in any buffer."""
-    n = len(buf)
-    prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum((buf.astype(np.uint64) + U(1)) * powers(BASE, n + 1)[:n], out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * powers(INVERSE, n + 1)[starts])
+    prefix = prefix_hash(buf)
+    return mix(prefix[ends] - prefix[starts] * power_of(ends - starts))

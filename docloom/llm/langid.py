@@ -1,7 +1,7 @@
 """Language identification: script ranges, per-word scores and a Viterbi pass with a switching penalty.
 
-Training counts words of labelled rows with Spark (a documented, bounded sample), keeps the most
-frequent ``MODEL_WORDS`` of them and byte-trigram scores for all others. Prediction runs in Arrow
+Training counts words of a bounded sample of each language's labelled rows with Spark, keeps the most
+frequent ones of each language, and byte-trigram scores for all others. Prediction runs in Arrow
 batches: every word of the whole text gets a score for each language its script allows, and a
 Viterbi pass over the words, side by side for all texts of a piece, labels spans of one language.
 """
@@ -14,14 +14,21 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytetext import LOWER, U, flat, mix, pieces, span_hash, word_spans, word_table
+from .store import bounded_batches
 
-#: Labelled rows that training reads at most (chosen by a hash of the id), and words that the model keeps.
-TRAIN_ROWS, MODEL_WORDS = 20_000, 60_000
+#: Bounds of the model: labelled rows of one language that training reads at most (chosen by a hash of
+#: the id), languages, words of one language, and cells of the table of words by languages.
+TRAIN_ROWS, LANGUAGES, MODEL_WORDS, MODEL_CELLS = 5_000, 500, 20_000, 8_000_000
+#: Bytes of text that are labelled side by side.
+PIECE = 1 << 19
 SWITCH_PENALTY = 6.0
+#: When a text is not accepted: over FOREIGN of its letters in words of scripts that no language uses, or, from
+#: LETTERS letters on (shorter texts are no evidence), under SUPPORT of them in words that speak for their label.
+FOREIGN, SUPPORT, LETTERS = 0.5, 0.05, 200
 UNKNOWN = "und"
 #: A word: ASCII letters and any byte of a longer character.
 WORD = word_table(lambda b: b >= 128 or 65 <= b <= 90 or 97 <= b <= 122)
@@ -50,7 +57,7 @@ def _trigrams(buf: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Per-word and per-trigram log scores, and the scripts of each language."""
+    """Per-word and per-trigram log scores, the words and the scripts of each language."""
 
     def __init__(self, langs: list[str], counts: dict[tuple[str, str], int]):
         self.langs = langs
@@ -65,27 +72,28 @@ class Model:
         ends = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64) - 1 if raw else np.zeros(0, np.int64)
         starts = ends - np.array([len(r) for r in raw], np.int64)
         hashes = span_hash(buf, starts, ends)
-        total = table.sum(0) + 1
-        score = np.log((table + 0.5) / (total + 0.5 * max(1, len(words))))
-        score -= score.mean(1, keepdims=True)
         order = np.argsort(hashes)
-        self.hashes, self.scores = hashes[order], score[order].astype(np.float32)
+        self.hashes = hashes[order]
+        self.scores, self.known = np.zeros(table.shape, np.float32), table[order] > 0
         # Trigrams of the words, with a space on either side, weighted by the root of their counts.
-        grams = np.full((TRIGRAMS, len(langs)), 0.5)
-        if raw:
-            tri = _trigrams(buf)
-            doc = np.repeat(np.arange(len(raw)), [len(r) + 1 for r in raw])
-            np.add.at(grams, tri, np.sqrt(table)[doc])
-        gram = np.log(grams / grams.sum(0))
-        self.grams = np.clip(gram - gram.mean(1, keepdims=True), -3, 3).astype(np.float32)
+        self.grams = np.zeros((TRIGRAMS, len(langs)), np.float32)
         seen = np.zeros((SCRIPTS, len(langs)))
-        if raw:
+        if raw and langs:
+            score = np.log((table + 0.5) / (table.sum(0) + 1 + 0.5 * len(words)))
+            self.scores = (score - score.mean(1, keepdims=True))[order].astype(np.float32)
+            grams = np.full((TRIGRAMS, len(langs)), 0.5)
+            doc = np.repeat(np.arange(len(raw)), [len(r) + 1 for r in raw])
+            np.add.at(grams, _trigrams(buf), np.sqrt(table)[doc])
+            gram = np.log(grams / grams.sum(0))
+            self.grams = np.clip(gram - gram.mean(1, keepdims=True), -3, 3).astype(np.float32)
             np.add.at(seen, SCRIPT[buf[starts]], table)
-        share = seen / np.maximum(1, seen.sum(0))
-        self.allowed = share >= 0.02
-        self.allowed[~self.allowed.any(1)] = True
+        #: Scripts that hold at least 0.02 of a language's words.
+        self.used = seen / np.maximum(1, seen.sum(0)) >= 0.02
+        self.allowed = self.used.copy()
+        self.allowed[~self.used.any(1)] = True
 
-    def word_scores(self, buf, starts, ends) -> np.ndarray:
+    def word_scores(self, buf, starts, ends) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of each word by language, and its row in the model's table, or -1."""
         h = span_hash(LOWER[buf], starts, ends)
         at = np.minimum(np.searchsorted(self.hashes, h), max(0, len(self.hashes) - 1))
         known = self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), bool)
@@ -99,7 +107,12 @@ class Model:
             grams = self.grams[_trigrams(buf)[idx]]
             out[new] = np.clip(np.add.reduceat(grams, first, axis=0), -8, 8)
         out[~self.allowed[SCRIPT[buf[starts]]]] = -12.0
-        return out
+        return out, np.where(known, at, -1)
+
+    def supported(self, at: np.ndarray, label: np.ndarray, script: np.ndarray) -> np.ndarray:
+        """Whether a word speaks for its label: the language's words hold it, or it is in a script other than Latin that the language uses."""
+        own = (at >= 0) & self.known[at, label] if len(self.known) else np.zeros(len(at), bool)
+        return own | (script != 0) & self.used[script, label]
 
     def spans(self, scores: np.ndarray, first: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
         """The best language of each word, row by row; first: each row's first word (n+1)."""
@@ -135,30 +148,42 @@ class Model:
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS, words: int = MODEL_WORDS) -> Model:
-    """Fit on rows whose lang is not null; at most about ``rows`` of them (by a hash of the id), ``words`` words."""
+    """Fit on rows whose lang is not null: of each language about ``rows`` of them at most (by a hash of the id) and ``words`` words.
+
+    A rare language keeps all its rows and words, whatever the others weigh. No labelled row at all
+    gives a model without languages; more than LANGUAGES languages are an error.
+    """
     labelled = labelled.where(F.col(lang_col).isNotNull())
-    n = labelled.count()
-    langs = [r[0] for r in labelled.select(lang_col).distinct().orderBy(lang_col).collect()]
-    chosen = labelled if n <= rows else labelled.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < math.ceil(rows / n * 1_000_000))
+    counted = labelled.groupBy(F.col(lang_col).cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("n")).limit(LANGUAGES + 1).collect()
+    if len(counted) > LANGUAGES:
+        raise ValueError(f"over {LANGUAGES} languages: is {lang_col} a language?")
+    n = {r["lang"]: r["n"] for r in sorted(counted, key=lambda r: r["lang"])}
+    if not n:
+        return Model([], {})
+    words = max(1, min(words, MODEL_CELLS // len(n) ** 2))
+    cuts = labelled.sparkSession.createDataFrame([(x, math.ceil(min(1, rows / k) * 1_000_000)) for x, k in n.items()], "lang string, cut int")
     lower = F.translate(F.col(text_col), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    each = chosen.select(F.col(lang_col).alias("lang"), F.explode(F.regexp_extract_all(lower, F.lit("[a-z\\x{80}-\\x{10FFFF}]+"), F.lit(0))).alias("w"))
-    counted = each.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w", "lang").limit(words).collect()
-    return Model(langs, {(r["lang"], r["w"]): r["n"] for r in counted})
+    chosen = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.pmod(F.xxhash64(id_col), F.lit(1_000_000)).alias("h"), lower.alias("t")).join(F.broadcast(cuts), "lang").where("h < cut")
+    each = chosen.select("lang", F.explode(F.regexp_extract_all("t", F.lit("[a-z\\x{80}-\\x{10FFFF}]+"), F.lit(0))).alias("w"))
+    ranked = each.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w")))
+    return Model(list(n), {(r["lang"], r["w"]): r["n"] for r in ranked.where(F.col("k") <= words).select("lang", "w", "n").collect()})
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, with_spans: bool = False, penalty: float = SWITCH_PENALTY, with_letters: bool = False) -> DataFrame:
+def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, with_spans: bool = False, penalty: float = SWITCH_PENALTY, with_accepted: bool = False) -> DataFrame:
     """Label whole texts: keep, lang_pred string, score double and, if asked, spans array<struct<lang, first_word, n_words>>
-    and letters array<bigint>, the letters of each script.
+    and accepted boolean, whether the text is in the learned languages (see FOREIGN, SUPPORT, LETTERS; 'und' isn't accepted).
 
     lang_pred is the language of most letters; score is their share. A null text or one without a
-    letter gets 'und' and 0. Ties go to the language that comes first. Rows stay one to one, and an
-    input column named like an output is replaced.
+    letter gets 'und' and 0. Ties go to the language that comes first, by code point. Rows stay one
+    to one, repeated rows alike; very long texts are labelled whole; an empty table gives an empty
+    one, and an input column named like an output is replaced. Without a language all texts get 'und'.
     """
-    outputs = {"lang_pred": "string", "score": "double"} | ({"spans": "array<struct<lang:string,first_word:int,n_words:int>>"} if with_spans else {}) | ({"letters": "array<bigint>"} if with_letters else {})
+    outputs = {"lang_pred": "string", "score": "double"} | ({"spans": "array<struct<lang:string,first_word:int,n_words:int>>"} if with_spans else {}) | ({"accepted": "boolean"} if with_accepted else {})
     keep = [c for c in (docs.columns if keep is None else keep) if c not in outputs]
     types = dict(zip(docs.columns, (f.dataType.simpleString() for f in docs.schema)))
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [f"{c} {t}" for c, t in outputs.items()])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    bounded_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by LANGUAGES and MODEL_CELLS
     span_type = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("n_words", pa.int32())]))
 
     def run(batches):
@@ -166,29 +191,41 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
         n_lang = max(1, len(m.langs))
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
-            buf, offs = flat(column)
-            langs, scores, spans, letters = [], [], [], []
-            for i, j in pieces(offs, 4 << 20):
-                part, o = buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
+            _, offs = flat(column)
+            order = np.argsort(-np.diff(offs), kind="stable")  # texts of like length are labelled side by side
+            buf, offs = flat(column.take(pa.array(order)))
+            top, score = np.zeros(len(order), np.int64), np.zeros(len(order))
+            good, accepted, spans = np.zeros(len(order), bool), np.zeros(len(order), bool), [[]] * len(order)
+            for i, j in pieces(offs, PIECE):
+                part, o, own = buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], order[i:j]
                 starts, ends, first = word_spans(part, o, WORD)
-                label = m.spans(m.word_scores(part, starts, ends), first, penalty) if m.langs and len(starts) else np.zeros(len(starts), np.int16)
+                if not m.langs or not len(starts):
+                    continue
+                upto = np.zeros(len(part) + 1, np.int32)
+                lead, script = letters(part)
+                upto[lead + 1] = script < SCRIPTS
+                np.cumsum(upto, out=upto)
+                n = (upto[ends] - upto[starts]).astype(np.int64)
+                scores, at = m.word_scores(part, starts, ends)
+                scores[n == 0] = 0
+                label = m.spans(scores, first, penalty)
                 doc = np.repeat(np.arange(j - i), np.diff(first))
-                weight = np.bincount(doc * n_lang + label, ends - starts, (j - i) * n_lang).reshape(-1, n_lang)
-                ascii_letter = np.zeros(len(part) + 1, np.int64)
-                np.cumsum(WORD[part] & (part < 128), out=ascii_letter[1:])
-                has = ascii_letter[o[1:]] > ascii_letter[o[:-1]]
-                top, total = weight.argmax(1), weight.sum(1)
-                for k in range(j - i):
-                    good = m.langs and total[k] and (has[k] or any(map(str.isalpha, bytes(part[o[k] : o[k + 1]]).decode())))
-                    langs.append(m.langs[top[k]] if good else UNKNOWN)
-                    scores.append(float(weight[k, top[k]] / total[k]) if good else 0.0)
-                    if with_letters:
-                        letters.append(_letters(bytes(part[o[k] : o[k + 1]])))
-                    if with_spans:
-                        row = label[first[k] : first[k + 1]] if good else label[:0]
-                        cuts = np.flatnonzero(np.r_[True, row[1:] != row[:-1], True]) if len(row) else np.zeros(1, int)
-                        spans.append([{"lang": m.langs[row[a]], "first_word": int(a), "n_words": int(b - a)} for a, b in zip(cuts[:-1], cuts[1:])])
-            made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())] + ([pa.array(spans, span_type)] if with_spans else []) + ([pa.array(letters, pa.list_(pa.int64()))] if with_letters else [])
+                weight = np.bincount(doc * n_lang + label, n, (j - i) * n_lang).reshape(-1, n_lang)
+                total = weight.sum(1)
+                top[own], good[own] = weight.argmax(1), total > 0
+                score[own] = weight.max(1) / np.maximum(1, total)
+                if with_accepted:
+                    kind = SCRIPT[part[starts]]
+                    foreign = np.bincount(doc, n * ~m.used.any(1)[kind], j - i)
+                    speaks = np.bincount(doc, n * m.supported(at, label, kind), j - i)
+                    accepted[own] = (total > 0) & (foreign <= FOREIGN * total) & ((total < LETTERS) | (speaks >= SUPPORT * total))
+                if with_spans:
+                    for k in np.flatnonzero(total > 0):
+                        row = label[first[k] : first[k + 1]]
+                        cuts = np.flatnonzero(np.r_[True, row[1:] != row[:-1], True])
+                        spans[own[k]] = [{"lang": m.langs[row[a]], "first_word": int(a), "n_words": int(b - a)} for a, b in zip(cuts[:-1], cuts[1:])]
+            made = [pa.array([m.langs[t] if g else UNKNOWN for t, g in zip(top, good)], pa.string()), pa.array(score, pa.float64())]
+            made += ([pa.array(spans, span_type)] if with_spans else []) + ([pa.array(accepted, pa.bool_())] if with_accepted else [])
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + made, names=[*keep, *outputs])
 
     return docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text_col}`"].alias("__text")).mapInArrow(run, schema)
@@ -204,31 +241,18 @@ def _letter_scripts() -> np.ndarray:
     return out
 
 
-def _letters(raw: bytes) -> np.ndarray:
-    """Letters of each script in a whole UTF-8 text."""
-    return np.bincount(_letter_scripts()[np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)], minlength=SCRIPTS)[:SCRIPTS]
-
-
-def learned_scripts(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[int]:
-    """Scripts that hold at least 0.02 of the letters of a language, over all rows whose lang is not null."""
-
-    def run(batches):
-        total = {}
-        for batch in batches:
-            buf, offs = flat(batch.column(1))
-            for k, lang in enumerate(batch.column(0).to_pylist()):
-                total[lang] = total.get(lang, 0) + _letters(bytes(buf[offs[k] : offs[k + 1]]))
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([n.tolist() for n in total.values()], pa.list_(pa.int64()))], names=["lang", "n"])
-
-    each = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).mapInArrow(run, "lang string, n array<bigint>")
-    counts = np.array([r[1:] for r in each.groupBy("lang").agg(*[F.sum(F.col("n")[k]) for k in range(SCRIPTS)]).collect()], np.float64).reshape(-1, SCRIPTS)
-    return np.flatnonzero((counts >= 0.02 * np.maximum(1, counts.sum(1, keepdims=True))).any(0)).tolist()
-
-
-def foreign(scripts: list[int], letters: str = "letters") -> Column:
-    """Whether more of the letters (an output of predict) stand outside the scripts than in them."""
-    held = F.transform(letters, lambda n, k: F.when(k.isin(scripts), n).otherwise(-n))
-    return F.aggregate(held, F.lit(0).cast("bigint"), lambda a, x: a + x) < 0
+def letters(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each character of UTF-8 text starts, and its script, or SCRIPTS if it is no letter."""
+    lead = np.flatnonzero((buf & 0xC0) != 0x80)
+    point = buf[lead].astype(np.int32)
+    wide = np.flatnonzero(point >= 0x80)
+    size = 1 + (point[wide] >= 0xE0) + (point[wide] >= 0xF0)
+    value = point[wide] & (0x3F >> size)
+    for k in (1, 2, 3):
+        more = size >= k
+        value[more] = value[more] << 6 | (buf[np.minimum(lead[wide[more]] + k, len(buf) - 1)] & 0x3F)
+    point[wide] = np.minimum(value, 0x10FFFF)
+    return lead, _letter_scripts()[point]
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -1,12 +1,13 @@
 """Suffix-array dedup: removes bytes under WIDTH-byte strings that also start in a document with a smaller id.
 
 All suffixes that can share WIDTH bytes share a minimizer: the CORE-byte string with the least hash among
-those inside their first WIDTH bytes. Documents are dealt into blocks by id, once for each of three passes:
+those inside their first WIDTH bytes. Documents are dealt into blocks, once for each of three passes:
 
 1. Blocks list their minimizers by hash bucket; buckets answer which occur in more than one document.
-2. Blocks send only the stretches of text whose minimizer is repeated, equal stretches of a block once;
-   a bucket sorts its stretches with the hash-compared mergesort of ``suffixes``, collapses equal ones
-   and finds each WIDTH-byte string's least id. Equality by hash is verified byte by byte.
+2. Blocks send only the stretches of text whose minimizer is repeated, equal stretches of a block once.
+   A bucket puts its stretches, and then the suffixes at every byte of the distinct ones, in order with the
+   hash-compared mergesort of ``suffixes``; neighbours with a common extension of WIDTH bytes are one string,
+   of which the least id is known then. Neighbours are verified byte by byte.
    Very frequent minimizers go string by string, by the hash of the whole string, so no bucket gets them all.
 3. Blocks mark the covered bytes and cut them out.
 """
@@ -86,10 +87,9 @@ def minimizer_runs(buf: np.ndarray, offs: np.ndarray):
 def _block(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
     """A block's rows in an order that every pass finds again, their ids, and its text."""
     ids = table.column("__id").to_numpy()
-    text = table.column("__text")
-    order = np.lexsort((np.array([len(x.as_py()) for x in text]), ids))
+    order = np.argsort(ids, kind="stable")
     if len(np.unique(ids)) < len(ids):
-        values = text.to_pylist()
+        values = table.column("__text").to_pylist()
         order = np.array(sorted(range(len(ids)), key=lambda k: (ids[k], values[k])), np.int64)
     table = table.take(pa.array(order))
     buf, offs = flat(table.column("__text"))
@@ -97,7 +97,7 @@ def _block(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarra
 
 
 def _bucket(key: np.ndarray, n: int) -> np.ndarray:
-    return (((key & U(0xFFFF)) * U(n)) >> U(16)).astype(np.int64)
+    return (((key & U(0xFFFFFFFF)) * U(n)) >> U(32)).astype(np.int64)
 
 
 def _high(key: np.ndarray) -> np.ndarray:
@@ -247,15 +247,17 @@ def least_ids(table: pa.Table) -> pa.Table:
     place = np.repeat(np.arange(len(blocks)), [len(k) for k in keys])
     key, owner, pos, count = np.concatenate(keys), np.concatenate(column("ids", np.int64)), np.concatenate(column("pos", np.uint32)), np.concatenate(column("strings", np.uint8)).astype(np.int64)
     text = np.frombuffer(b"".join(x.as_py() for x in table.column("text")), np.uint8)
+    del table
     length = count + WIDTH - 1
-    start = np.cumsum(length) - length
     # Keys that one document holds alone can't cover anything.
     order = np.argsort(key, kind="stable")
     edge = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1]])
     lone = np.minimum.reduceat(owner[order], edge) == np.maximum.reduceat(owner[order], edge)
     keep = np.ones(len(key), bool)
     keep[order] = ~np.repeat(lone, np.diff(np.r_[edge, len(key)]))
-    key, owner, pos, count, length, start, place = (x[keep] for x in (key, owner, pos, count, length, start, place))
+    text = text[np.repeat(keep, length)]
+    key, owner, pos, count, length, place = (x[keep] for x in (key, owner, pos, count, length, place))
+    start = np.cumsum(length) - length
     empty = pa.table([pa.array([], pa.int32()), pa.array([], pa.binary()), pa.array([], pa.binary())], names=["block", "pos", "strings"])
     if not len(key):
         return empty
@@ -272,27 +274,20 @@ def least_ids(table: pa.Table) -> pa.Table:
     kind[order] = np.cumsum(new) - 1
     head = order[new]
     least = np.minimum.reduceat(owner[order], np.flatnonzero(new))
-    # All strings of the distinct stretches, and the least id of each content.
+    # The suffixes of the distinct stretches in order, and the least id of each string. A first radix step takes
+    # the bytes that 8-byte words hold, within the stretches of one minimizer.
     many = count[head]
     first = np.cumsum(many) - many
-    total = int(many.sum())
-    at = np.arange(total) + np.repeat(start[head] - first, many)
-    h = mix((suffixes.prefix[at + WIDTH] - suffixes.prefix[at]) * _inverse(at))
+    at = np.arange(int(many.sum())) + np.repeat(start[head] - first, many)
+    word = np.zeros(len(at), np.uint64)
+    for k in range(8):
+        word = word << U(8) | text[at + k]
+    string = suffixes.classes(at, WIDTH, _ranks(np.repeat(key[head], many), word), 8)
     who = np.repeat(least, many)
-    order = np.lexsort((who, h))
-    hs = h[order]
-    new = np.r_[True, hs[1:] != hs[:-1]]
-    edge = np.flatnonzero(new)
-    lead = np.repeat(order[edge], np.diff(np.r_[edge, total]))
-    best = np.empty(total, np.int64)
-    best[order] = who[lead]
-    lower = np.flatnonzero(who[lead] < who[order])
-    good = same_bytes(text, at[order[lower]], at[lead[lower]], np.full(len(lower), WIDTH))
-    for k in np.flatnonzero(~good):  # a collision: compare within the equal hashes
-        me = order[lower[k]]
-        peers = order[hs == h[me]]
-        mine = text[at[me] : at[me] + WIDTH]
-        best[me] = min(who[p] for p in peers if (text[at[p] : at[p] + WIDTH] == mine).all())
+    order = np.argsort(string, kind="stable")
+    edge = np.flatnonzero(np.r_[True, string[order][1:] != string[order][:-1]])
+    best = np.empty(len(at), np.int64)
+    best[order] = np.repeat(np.minimum.reduceat(who[order], edge), np.diff(np.r_[edge, len(at)]))
     # Back to every stretch: a bit for each covered string.
     lead = np.cumsum(count) - count
     idx = np.arange(int(count.sum())) - np.repeat(lead, count)
@@ -303,10 +298,13 @@ def least_ids(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["block", "pos", "strings"]) if rows else empty
 
 
-def _inverse(at: np.ndarray) -> np.ndarray:
-    from .bytetext import INVERSE, powers
-
-    return powers(INVERSE, int(at.max()) + 1)[at] if len(at) else np.zeros(0, np.uint64)
+def _ranks(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Dense ranks of pairs."""
+    order = np.lexsort((low, high))
+    h, w = high[order], low[order]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(np.r_[False, (h[1:] != h[:-1]) | (w[1:] != w[:-1])])
+    return out
 
 
 def cut(table: pa.Table, replies: pa.Table) -> pa.Table:
@@ -339,22 +337,22 @@ def cut(table: pa.Table, replies: pa.Table) -> pa.Table:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Cut every byte under a WIDTH-byte string that also starts in a row with a smaller id out of each text.
 
-    Texts count as UTF-8 bytes, null as empty; strings are judged on the input and never cross rows.
-    Rows with one id are one document: they don't cut each other. A row without an id comes after
-    all others. Returns ``keep`` (default: all columns) and n_bytes, n_removed, n_spans (maximal runs),
+    Texts count as UTF-8 bytes, null as empty; strings are judged on the input and never cross rows;
+    very long texts are taken whole. Rows with one id are one document: they don't cut each other, nor
+    do rows without an id, which come after all others. An empty table gives an empty one. Returns ``keep`` (default: all columns) and n_bytes, n_removed, n_spans (maximal runs),
     kept binary, kept_text (kept without characters that a cut has broken); these replace input columns of their names.
     """
     spark = docs.sparkSession
     made = ("n_bytes", "n_removed", "n_spans", "kept", "kept_text")
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), bytes_of_text(docs, f"`{text_col}`") // BLOCK_BYTES + 1)
-    buckets = min(n, 1 << 16)
     key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(int(NO_ID)))
-    own = [F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("__block"), key.alias("__id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary").alias("__text")]
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
+    own = [F.pmod(F.xxhash64(key, text), F.lit(n)).cast("int").alias("__block"), key.alias("__id"), text.alias("__text")]
     bare = docs.select(*own)
-    listed = bare.groupBy("__block").applyInArrow(lambda t: list_minimizers(t, buckets), "bucket int, block int, keys binary, docs binary")
+    listed = bare.groupBy("__block").applyInArrow(lambda t: list_minimizers(t, n), "bucket int, block int, keys binary, docs binary")
     known = materialize(listed.groupBy("bucket").applyInArrow(lambda t: answer_repeated(t, FREQUENT), "block int, keys binary, often binary"), "repeated")
-    sent = bare.groupBy("__block").cogroup(known.groupBy("block")).applyInArrow(lambda t, r: send_stretches(t, r, buckets), SENT)
+    sent = bare.groupBy("__block").cogroup(known.groupBy("block")).applyInArrow(lambda t, r: send_stretches(t, r, n), SENT)
     found = materialize(sent.groupBy("bucket").applyInArrow(least_ids, "block int, pos binary, strings binary"), "covered")
     release(known)
     types = dict(zip(docs.columns, (f.dataType.simpleString() for f in docs.schema)))

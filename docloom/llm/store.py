@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,20 +13,33 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 20_000
 
 
+#: Bytes of an Arrow batch; a longer row stands alone, whole.
+BATCH_BYTES, BATCH_CONF = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Spark drops a query's shuffle files when it ends: what follows reads the written table.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is configured (local tests)."""
+    """The cluster's checkpoint folder; a temporary one only where none is configured on a local master (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="docloom-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()
     return root
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Hold Arrow batches to BATCH_BYTES, whatever rows weigh: what a Python worker and the JVM's side of it hold at once.
+
+    The session's setting is lowered, never raised; it bounds batches of mapInArrow, not groups of applyInArrow.
+    """
+    if int(spark.conf.get(BATCH_CONF).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: later steps survive lost executors."""
     spark = df.sparkSession

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .bytetext import BASE, U, powers
+from .bytetext import power_of, prefix_hash
 
 
 class Suffixes:
@@ -12,33 +12,64 @@ class Suffixes:
 
     def __init__(self, text: np.ndarray):
         self.text = text
-        n = len(text)
-        self.power = powers(BASE, n + 1)
-        self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum((text.astype(np.uint64) + U(1)) * self.power[:n], out=self.prefix[1:])
+        self.prefix = prefix_hash(text)
 
     def equal(self, a, b, length) -> np.ndarray:
         """Do the hashes of text[a:a+length] and text[b:b+length] agree?"""
-        return (self.prefix[a + length] - self.prefix[a]) * self.power[b] == (self.prefix[b + length] - self.prefix[b]) * self.power[a]
+        return self.prefix[a + length] - self.prefix[b + length] == (self.prefix[a] - self.prefix[b]) * power_of(length)
 
-    def extension(self, a, b, most) -> np.ndarray:
-        """Length of the longest common extension from a and b, at most ``most``."""
-        low, high = np.zeros(len(a), np.int64), most.astype(np.int64).copy()
-        for _ in range(int(most.max(initial=0)).bit_length()):
+    def extension(self, a, b, most, common: int = 0) -> np.ndarray:
+        """Length of the longest common extension from a and b, at most ``most``; the first ``common`` bytes are known to agree."""
+        out = most.astype(np.int64).copy()
+        rest = np.flatnonzero(~self.equal(a, b, out))
+        a, b = a[rest], b[rest]
+        low, high = np.minimum(common, out[rest]), np.maximum(out[rest] - 1, 0)
+        for _ in range(int((high - low).max(initial=0)).bit_length()):
             mid = (low + high + 1) >> 1
             same = self.equal(a, b, mid)
             low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
-        return low
+        out[rest] = low
+        return out
 
-    def compare(self, a, len_a, b, len_b) -> np.ndarray:
+    def compare(self, a, len_a, b, len_b, common: int = 0) -> np.ndarray:
         """-1, 0, 1 as span a sorts before, with or after span b (a proper prefix comes first)."""
         most = np.minimum(len_a, len_b)
-        ext = self.extension(a, b, most)
+        ext = self.extension(a, b, most, common)
         last = max(0, len(self.text) - 1)
         x, y = self.text[np.minimum(a + ext, last)].astype(np.int16), self.text[np.minimum(b + ext, last)].astype(np.int16)
         return np.where(ext == most, np.sign(len_a - len_b), np.sign(x - y))
 
-    def sort(self, start: np.ndarray, length: np.ndarray, group: np.ndarray) -> np.ndarray:
+    def classes(self, start: np.ndarray, width: int, group: np.ndarray, common: int = 0) -> np.ndarray:
+        """A number for each width-byte string, equal for equal ones of one group.
+
+        The strings are put in suffix order; neighbours whose common extension reaches the width are
+        equal. Every pair of neighbours is verified byte by byte, both what is common and the first
+        byte that differs: if all hold, the order is right. A group where a hash has lied is told
+        apart by its bytes.
+        """
+        n = len(start)
+        out = np.empty(n, np.int64)
+        if not n:
+            return out
+        length = np.full(n, width, np.int64)
+        order = self.sort(start, length, group, common)
+        a, b = start[order[:-1]], start[order[1:]]
+        near = group[order[1:]] == group[order[:-1]]
+        at = np.flatnonzero(near)
+        ext = self.extension(a[at], b[at], length[at], common)
+        true = same_bytes(self.text, a[at], b[at], ext)
+        short = ext < width
+        true[short] &= self.text[(a[at] + ext)[short]] < self.text[(b[at] + ext)[short]]
+        new = np.ones(n, bool)
+        new[1 + at[~short]] = False
+        out[order] = np.cumsum(new) - 1
+        for g in np.unique(group[order[at[~true]]]):
+            seen: dict[bytes, int] = {}
+            for k in np.flatnonzero(group == g):
+                out[k] = seen.setdefault(self.text[start[k] : start[k] + width].tobytes(), n + int(k))
+        return out
+
+    def sort(self, start: np.ndarray, length: np.ndarray, group: np.ndarray, common: int = 0) -> np.ndarray:
         """The order of spans by (group, content), stable: a bottom-up mergesort of all groups side by side.
 
         In each pass every span finds its rank in the sibling run by binary search.
@@ -70,7 +101,7 @@ class Suffixes:
                 if not len(open_):
                     break
                 mid = (low[open_] + high[open_]) >> 1
-                c = self.compare(start[order[mid]], length[order[mid]], a[open_], la[open_])
+                c = self.compare(start[order[mid]], length[order[mid]], a[open_], la[open_], common)
                 before = (c < 0) | ((c == 0) & right[open_])
                 low[open_] = np.where(before, mid + 1, low[open_])
                 high[open_] = np.where(before, high[open_], mid)

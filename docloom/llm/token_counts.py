@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .store import bounded_batches
+
 # Fixed value: how byte-level BPE of this vocabulary cuts a text before it merges bytes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space runs from this length on are cut out beforehand: the pattern's backtracking would overflow in them.
@@ -62,6 +64,8 @@ def count(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "
     tokens are ordinary text; other columns are not read. Empty tables give empty tables.
     """
 
+    bounded_batches(docs.sparkSession)
+
     def run(batches):
         if ranks not in _encoders:
             _encoders[ranks] = Encoder(ranks)

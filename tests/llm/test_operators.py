@@ -67,7 +67,7 @@ def test_hamming_search(spark):
 def test_pieces(spark, docs):
     import sentencepiece
 
-    model = f"{queries.TOKENIZERS}/piece_bpe_32k.model"
+    model = queries.tokenizer("piece_bpe_32k.model")
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
     got = rows(pieces_codec.encode_decode(docs, model, keep=["doc_id"], table_rows=50), "doc_id", "n_tokens", "ids", "decoded")
     want = [(d, len(ids := sp.encode(t or "")), ids, sp.decode(ids) if ids else "") for d, t in TEXTS]
@@ -80,7 +80,7 @@ def test_pieces(spark, docs):
 def test_token_counts(spark, docs):
     import json
 
-    vocabulary, ranks = f"{queries.TOKENIZERS}/byte_bpe_50k.json", f"{queries.TOKENIZERS}/byte_bpe_50k.tiktoken"
+    vocabulary, ranks = queries.tokenizer("byte_bpe_50k.json"), queries.tokenizer("byte_bpe_50k.tiktoken")
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]  # bytes that stand for themselves in the vocabulary
     byte = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in own)}
     tokens = {i: bytes(byte[c] for c in t) for t, i in json.load(open(vocabulary))["model"]["vocab"].items() if t != "<|endoftext|>"}
@@ -262,6 +262,20 @@ def test_suffix_sort():
     assert [plain[k] for k in order] == sorted(plain)
 
 
+def test_suffix_classes_when_hashes_lie(monkeypatch):
+    rng = np.random.default_rng(6)
+    text = rng.integers(97, 99, 4000).astype(np.uint8)
+    start, group = rng.integers(0, 3900, 900), rng.integers(0, 4, 900)
+    plain = [(int(group[k]), bytes(text[start[k] : start[k] + 10])) for k in range(900)]
+    want = {(i, j) for i in range(900) for j in range(i) if plain[i] == plain[j]}
+    honest = suffixes.Suffixes.equal
+    for lie in (False, True):
+        if lie:
+            monkeypatch.setattr(suffixes.Suffixes, "equal", lambda self, a, b, n: honest(self, a, b, n) | ((a * 7 + b * 13 + n) % 50 == 0))
+        got = suffixes.Suffixes(text).classes(start, 10, group)
+        assert {(i, j) for i in range(900) for j in range(i) if got[i] == got[j]} == want
+
+
 def test_language(spark, docs):
     model = langid.train(spark.createDataFrame([(k, x, t) for k in range(30) for x, t in (("en", "the house of the king and his men"), ("fr", "la maison du roi et ses hommes est là"), ("ru", "дом царя и его люди"))], "doc_id bigint, lang string, text string"))
     texts = [(1, "the king and the house"), (2, "la maison est là"), (3, "царь и люди"), (4, None), (5, "123 !?"), (6, "the house of the king and his men " * 3 + "la maison du roi et ses hommes " * 9)]
@@ -272,6 +286,38 @@ def test_language(spark, docs):
     assert langid.predict(docs, model).count() == len(TEXTS)
     empty = langid.predict(docs, langid.train(docs.where("false")), keep=["doc_id"])
     assert {r["lang_pred"] for r in empty.collect()} == {"und"}
+    assert langid.predict(docs.limit(0), model).count() == 0
+
+
+def test_language_letters_ties_and_rare_languages(spark):
+    """Letters count, not bytes; ties go to the first language; a language of one row in 10,000 keeps its words."""
+    labelled = spark.range(30_000).selectExpr("id AS doc_id", "IF(id % 2 = 0, 'en', 'ru') AS lang", "IF(id % 2 = 0, concat('the house of the king w', hex(id)), concat('дом царя и его люди ', id)) AS text")
+    rare = spark.createDataFrame([(k, "fr", "la maison du roi est là") for k in range(-3, 0)], "doc_id bigint, lang string, text string")
+    model = langid.train(labelled.union(rare), rows=500, words=40)
+    assert model.langs == ["en", "fr", "ru"] and model.known[:, 1].sum() == 6 and model.known[:, 0].sum() == 40
+    text = "the house of the king of the house the king дом царя и его люди"
+    script = [langid._letter_scripts()[ord(c)] for c in text]
+    texts = [(1, text), (2, "la maison du roi est là"), (3, "the дом"), (4, "12 — “”"), (5, "la maison " * 40_000)]
+    got = {r["doc_id"]: r for r in langid.predict(spark.createDataFrame(texts, "doc_id bigint, text string"), model, penalty=0.0).collect()}
+    assert got[1]["lang_pred"] == "en" and got[1]["score"] == pytest.approx(script.count(0) / (script.count(0) + script.count(2)))
+    assert [got[k]["lang_pred"] for k in (2, 3, 4, 5)] == ["fr", "en", "und", "fr"] and got[3]["score"] == 0.5
+
+
+def test_language_viterbi_by_force():
+    """Spans against every sequence of labels."""
+    import itertools
+
+    rng = np.random.default_rng(4)
+    model = langid.Model(["a", "b", "c"], {("a", "x"): 1, ("b", "y"): 1, ("c", "z"): 1})
+    counts = [0, 1, 5, 6, 3]
+    first = np.cumsum([0, *counts])
+    scores = rng.normal(0, 2, (int(first[-1]), 3)).astype(np.float32)
+    for penalty in (0.0, 1.5, 6.0):
+        label = model.spans(scores, first, penalty)
+        for i, n in enumerate(counts):
+            own = scores[first[i] : first[i + 1]]
+            value = lambda path: sum(own[t, s] for t, s in enumerate(path)) - penalty * sum(x != y for x, y in zip(path, path[1:]))  # noqa: E731,B023
+            assert value(label[first[i] : first[i + 1]]) == pytest.approx(max(map(value, itertools.product(range(3), repeat=n))), abs=1e-4)
 
 
 def test_language_held_out(spark):
@@ -330,7 +376,13 @@ def test_pipeline_language(spark):
     docs = spark.createDataFrame(known + [(k, t, None) for k, t in new.items()], "doc_id bigint, text string, lang string")
     got = [r["doc_id"] for r in cp.language(spark, docs, "").collect()]
     assert sorted(got) == sorted([k for k, _, _ in known] + [100, 101, 102, 103, 104])
-    assert langid.learned_scripts(docs) == [0, 2] and langid.learned_scripts(docs.where("false")) == []
+    # Long texts of a language that shares a script with learned ones go, long mixed ones stay.
+    long = {300: "ngôi nhà của nhà vua và những người đàn ông ế ở ỡ " * 9, 301: "ngôi nhà của nhà vua và những người " * 9 + " the house of the king" * 3, 302: "the house " * 99}
+    more = known + [(k, t, None) for k, t in long.items()]
+    clash = spark.createDataFrame([(*r, "s", "p", True) for r in more], "doc_id bigint, text string, lang string, score string, lang_pred string, accepted boolean")
+    kept = cp.language(spark, clash, "")
+    assert kept.columns == clash.columns and sorted(tuple(r) for r in kept.where("doc_id >= 300").collect()) == [(k, long[k], None, "s", "p", True) for k in (301, 302)]
+    assert cp.language(spark, docs.limit(0), "").count() == 0
 
 
 def test_pipeline_repeated_ids(spark):
