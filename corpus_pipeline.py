@@ -9,18 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm import langid, mixing, neardup, pieces_codec, queries, repeats
-from docloom.llm.store import materialize, small
+from docloom.llm.store import materialize, release, small
 
 #: Ids up to which the documents that stay are picked by a broadcast; beyond it by a shuffle.
 PICKED = 500_000
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns c0, c1, ..., which no operator's outputs are named like, and the new name of each column."""
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter (und) go, and those with most letters in scripts of no learned language; mixed-language documents stay."""
-    labelled = docs.where(~langid.held_out())
-    model = langid.train(labelled)
-    out = langid.predict(docs, model, with_letters=True).where("lang_pred <> 'und'")
-    return out.where(~langid.foreign(langid.learned_scripts(labelled))).select(*docs.columns)
+    """Documents that the operator doesn't accept go: those without a letter, with most letters in scripts of no learned language,
+    or long ones hardly any word of which speaks for the language it is labelled with. Mixed-language documents stay."""
+    model = langid.train(docs.where(~langid.held_out()))
+    apart, names = _apart(docs)
+    out = langid.predict(apart, model, text_col=names["text"], keep=apart.columns, with_accepted=True).where("accepted")
+    return out.select(*[F.col(new).alias(c) for c, new in names.items()])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,10 +50,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out; documents of which nothing is left go."""
-    out = repeats.remove_repeats(docs, keep=[c for c in docs.columns if c != "text"])
+    apart, names = _apart(docs)
+    out = repeats.remove_repeats(apart, id_col=names["doc_id"], text_col=names["text"], keep=[c for c in apart.columns if c != names["text"]])
     out = out.where("kept_text <> '' OR n_removed = 0")
-    made = {"text": F.col("kept_text").alias("text"), "n_chars": F.char_length("kept_text").cast("long").alias("n_chars")}
-    return out.select(*[made.get(c, F.col(c)) for c in docs.columns])
+    made = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    return out.select(*[made.get(c, F.col(new)).alias(c) for c, new in names.items()])
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +65,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids, their number, and a digest of the text decoded from them."""
     keep = [c for c in docs.columns if c != "text"]
-    return pieces_codec.encode_decode(docs, f"{queries.TOKENIZERS}/piece_bpe_32k.model", keep=keep, outputs=("n_tokens", "ids", "decoded_sha256"))
+    return pieces_codec.encode_decode(docs, queries.tokenizer("piece_bpe_32k.model"), keep=keep, outputs=("n_tokens", "ids", "decoded_sha256"))
 
 
 STAGES = [("language", language), ("near_copies", near_copies), ("repeated_passages", repeated_passages), ("source_mix", source_mix), ("encoded", encoded)]
@@ -70,5 +78,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        release(before)
     return docs
