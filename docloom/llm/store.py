@@ -15,6 +15,8 @@ BROADCAST_ROWS = 20_000
 
 #: Bytes of an Arrow batch; a longer row stands alone, whole.
 BATCH_BYTES, BATCH_CONF = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Rows of one key that a salted join deals to one copy of the key's row.
+SALT_ROWS = 1_000
 #: Spark drops a query's shuffle files when it ends: what follows reads the written table.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -70,6 +72,22 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def salted(pairs: DataFrame, table: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """pairs with ``out``, the ``value`` of the table's rows whose ``id`` is in column ``key``.
+
+    An id with over SALT_ROWS pairs has its rows repeated, and its pairs dealt to the copies: no task gets them all.
+    """
+    counts = pairs.groupBy(F.col(key).alias("__id")).agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("__parts")).where("__parts > 1")
+    counts = materialize(counts, "parts")
+    few = small(counts)
+    dealt = pairs.join(few, pairs[key] == F.col("__id"), "left").drop("__id")
+    other = F.xxhash64(*[c for c in pairs.columns if c != key])
+    dealt = dealt.withColumn("__salt", F.pmod(other, F.coalesce("__parts", F.lit(1))).cast("int")).drop("__parts")
+    each = table.select("id", F.col(value).alias(out)).join(few, F.col("id") == F.col("__id"), "left")
+    each = each.select(F.col("id").alias("__at"), out, F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)).cast("int") - 1)).alias("__turn"))
+    return dealt.join(each, (dealt[key] == F.col("__at")) & (F.col("__salt") == F.col("__turn"))).drop("__at", "__turn", "__salt")
+
+
 def bytes_of_text(docs: DataFrame, text_col: str = "text") -> int:
     """Total UTF-8 bytes; only the lengths are aggregated."""
     return docs.agg(F.sum(F.octet_length(F.col(text_col))).alias("n")).first()["n"] or 0

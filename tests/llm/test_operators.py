@@ -149,6 +149,33 @@ def test_near_duplicates(spark, docs):
     assert neardup.near_duplicates(both.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("tile", [512, 8])
+def test_near_duplicates_in_hot_buckets(spark, monkeypatch, tile):
+    """Families of texts that share buckets but not all links, with hot keys in tiles and salted joins, against all pairs."""
+    from docloom.llm import store
+
+    monkeypatch.setattr(neardup, "LEAST_TILE", tile)
+    monkeypatch.setattr(neardup, "BLOCKS", 4)
+    monkeypatch.setattr(neardup, "MOST_TILE", 16)
+    monkeypatch.setattr(store, "SALT_ROWS", 5)
+    rng = np.random.default_rng(8)
+    base = [f"w{j}" for j in range(80)]
+    texts = [" ".join(w if rng.random() > share else f"x{rng.integers(99)}" for w in base) for share in (0.02, 0.05, 0.08, 0.12) for _ in range(25)]
+    texts += [" ".join(base)] * 30
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sets = [{tuple(t.split()[k : k + 2]) for k in range(len(t.split()) - 1)} for t in texts]
+    label = list(range(len(texts)))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]) and label[i] != label[j]:
+                    label[i] = label[j] = min(label[i], label[j])
+                    changed = True
+    assert rows(neardup.near_duplicates(docs, shingle=2), "doc_id", "component_id") == sorted(enumerate(label), key=repr)
+
+
 def test_sketch_fills_and_estimates():
     rng = np.random.default_rng(2)
     for n in (1, 3, 40, 900):
