@@ -15,6 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .bytetext import tidy
+from .store import bounded_batches
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|select|iframe)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|([^<]+|<)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _CLASS_WORD = re.compile(r"[a-z]+")
@@ -298,6 +301,7 @@ def extract(pages: DataFrame, chain: Chain, html_col: str = "html", keep: list[s
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + ["text string, n_chars bigint"])
     shared = pages.sparkSession.sparkContext.broadcast(chain)
 
+    @tidy
     def run(batches):
         for batch in batches:
             texts = [main_text(v.as_py() or "", shared.value) for v in batch.column(batch.num_columns - 1)]

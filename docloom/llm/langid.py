@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bytetext import LOWER, U, flat, mix, pieces, span_hash, word_spans, word_table
+from .bytetext import LOWER, U, flat, mix, pieces, span_hash, tidy, word_spans, word_table
 from .store import bounded_batches
 
 #: Bounds of the model: labelled rows of one language that training reads at most (chosen by a hash of
@@ -186,6 +186,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by LANGUAGES and MODEL_CELLS
     span_type = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("n_words", pa.int32())]))
 
+    @tidy
     def run(batches):
         m = shared.value
         n_lang = max(1, len(m.langs))

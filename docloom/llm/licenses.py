@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import LOWER, flat, pieces, span_hash, word_spans, word_table
+from .bytetext import LOWER, flat, pieces, span_hash, tidy, word_spans, word_table
 
 WORD = word_table(lambda b: 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128)
 THRESHOLD = 0.8
@@ -165,6 +165,7 @@ def frequencies(docs: DataFrame, text_col: str = "text", templates=TEMPLATES, ph
     """Documents that hold each template token, over all rows; the result has at most one row a token and task."""
     tokens = template_tokens(templates, phrases)
 
+    @tidy
     def run(batches):
         scan = Scanner({}, templates, phrases)
         total = np.zeros(len(scan.tokens), np.int64)
@@ -200,6 +201,7 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None,
     frequency = frequencies(docs, text_col, templates, phrases)
     arrow = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.float64()] + ([pa.list_(pa.struct([("word", pa.int32()), ("label", pa.string()), ("score", pa.float64())]))] if with_spans else [])
 
+    @tidy
     def run(batches):
         s = Scanner(frequency, templates, phrases, threshold)
         for batch in batches:

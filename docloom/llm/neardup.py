@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import LOWER, NOT_SPACE, U, flat, mix, pieces, span_hash, word_spans
+from .bytetext import LOWER, NOT_SPACE, U, flat, mix, pieces, span_hash, tidy, word_spans
 from .store import bounded_batches, materialize, release, salted, small
 
 #: Bands of ROWS coordinates: at similarity 0.8 a pair is missed with probability (1 - 0.8**5)**30 < 1e-5.
@@ -90,6 +90,7 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE):
 
 
 def _sketched(docs: DataFrame, shingle: int) -> DataFrame:
+    @tidy
     def run(batches):
         for batch in batches:
             buf, offs = flat(batch.column(1))
@@ -106,6 +107,7 @@ def _sketched(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
+    @tidy
     def run(batches):
         for batch in batches:
             buf, offs = flat(batch.column(1))
@@ -127,6 +129,7 @@ def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> D
     left = materialize(salted(pairs, sets, "v", "items", "y"), "left")
     both = salted(left, sets, "u", "items", "x").select("u", "v", "x", "y")
 
+    @tidy
     def run(batches):
         for batch in batches:
             keep = []
@@ -214,6 +217,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _binned(docs: DataFrame, shingle: int) -> DataFrame:
     """(id, n, bins, over): the size of each set, its counts in BINS bins, 255 at most, and how much they leave out."""
+    @tidy
     def run(batches):
         for batch in batches:
             buf, offs = flat(batch.column(1))

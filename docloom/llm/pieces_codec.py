@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .bytetext import tidy
 from .store import bounded_batches
 
 #: Chunks and characters (of chunks, ids and decoded texts) that a worker's table holds at most between two groups of texts.
@@ -116,6 +117,7 @@ def encode_decode(docs: DataFrame, model: str, text_col: str = "text", keep: lis
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [f"`{c}` {kinds[c]}" for c in outputs])
     arrow = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "decoded": pa.string(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
 
+    @tidy
     def run(batches):
         table = table_of(model, table_rows)
         make = {

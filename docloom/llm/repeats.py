@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import BASE, U, flat, mix, pieces, span_hash
+from .bytetext import BASE, U, flat, give_back, mix, pieces, span_hash
 from .store import bytes_of_text, materialize, release
 from .suffixes import Suffixes, same_bytes
 
@@ -318,13 +318,13 @@ def cut(table: pa.Table, replies: pa.Table) -> pa.Table:
             np.add.at(step, at, 1)
             np.add.at(step, at + WIDTH, -1)
     gone = np.cumsum(step[:-1]) > 0
-    total = np.zeros(len(buf) + 1, np.int64)
+    total = np.zeros(len(buf) + 1, np.int32)
     np.cumsum(gone, out=total[1:])
     begins = gone.copy()
     edge = np.zeros(len(buf) + 1, bool)
     edge[offs] = True
     begins[1:] &= ~gone[:-1] | edge[1:-1]
-    spans = np.zeros(len(buf) + 1, np.int64)
+    spans = np.zeros(len(buf) + 1, np.int32)
     np.cumsum(begins, out=spans[1:])
     count = lambda c: c[offs[1:]] - c[offs[:-1]]
     removed = count(total)
@@ -334,6 +334,13 @@ def cut(table: pa.Table, replies: pa.Table) -> pa.Table:
     return pa.table([table.column(c) for c in keep] + list(made.values()), names=[*keep, *made])
 
 
+def _tidy(run):
+    """A function of a group's tables, after which freed memory goes back to the system. Its number of arguments is kept."""
+    if run.__code__.co_argcount == 1:
+        return lambda t: (run(t), give_back())[0]
+    return lambda t, r: (run(t, r), give_back())[0]
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Cut every byte under a WIDTH-byte string that also starts in a row with a smaller id out of each text.
 
@@ -350,13 +357,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
     own = [F.pmod(F.xxhash64(key, text), F.lit(n)).cast("int").alias("__block"), key.alias("__id"), text.alias("__text")]
     bare = docs.select(*own)
-    listed = bare.groupBy("__block").applyInArrow(lambda t: list_minimizers(t, n), "bucket int, block int, keys binary, docs binary")
-    known = materialize(listed.groupBy("bucket").applyInArrow(lambda t: answer_repeated(t, FREQUENT), "block int, keys binary, often binary"), "repeated")
-    sent = bare.groupBy("__block").cogroup(known.groupBy("block")).applyInArrow(lambda t, r: send_stretches(t, r, n), SENT)
-    found = materialize(sent.groupBy("bucket").applyInArrow(least_ids, "block int, pos binary, strings binary"), "covered")
+    buckets = 2 * n
+    listed = bare.groupBy("__block").applyInArrow(_tidy(lambda t: list_minimizers(t, buckets)), "bucket int, block int, keys binary, docs binary")
+    known = materialize(listed.groupBy("bucket").applyInArrow(_tidy(lambda t: answer_repeated(t, FREQUENT)), "block int, keys binary, often binary"), "repeated")
+    sent = bare.groupBy("__block").cogroup(known.groupBy("block")).applyInArrow(_tidy(lambda t, r: send_stretches(t, r, buckets)), SENT)
+    found = materialize(sent.groupBy("bucket").applyInArrow(_tidy(lambda t: least_ids(t)), "block int, pos binary, strings binary"), "covered")
     release(known)
     types = dict(zip(docs.columns, (f.dataType.simpleString() for f in docs.schema)))
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + ["n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_text string"])
     whole = docs.select(*own, *[docs[f"`{c}`"] for c in keep])
-    return whole.groupBy("__block").cogroup(found.groupBy("block")).applyInArrow(cut, schema)
+    return whole.groupBy("__block").cogroup(found.groupBy("block")).applyInArrow(_tidy(lambda t, r: cut(t, r)), schema)
 

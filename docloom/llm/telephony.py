@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .bytetext import flat, pieces
+from .bytetext import flat, pieces, tidy
 
 RATE, UNIT = 8000, 576
 #: Bytes of one ADPCM block; UNIT is a multiple.
@@ -151,6 +151,7 @@ def store(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None
     types = dict(zip(docs.columns, (f.dataType.simpleString() for f in docs.schema)))
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [f"{c} {kinds[c][0]}" for c in outputs])
 
+    @tidy
     def run(batches):
         for batch in batches:
             buf, offs = flat(batch.column(batch.num_columns - 1))

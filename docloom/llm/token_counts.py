@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .bytetext import tidy
 from .store import bounded_batches
 
 # Fixed value: how byte-level BPE of this vocabulary cuts a text before it merges bytes.
@@ -66,6 +67,7 @@ def count(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "
 
     bounded_batches(docs.sparkSession)
 
+    @tidy
     def run(batches):
         if ranks not in _encoders:
             _encoders[ranks] = Encoder(ranks)
