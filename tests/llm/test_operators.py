@@ -198,56 +198,84 @@ def test_licenses(spark, docs):
     text = "x\nLicensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance\nPermission is hereby granted, free of charge, to any person obtaining a copy\nall rights reserved"
     row = licenses.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), with_spans=True).first()
     assert row["labels"] == "apache,proprietary" and row["score"] == 1.0
-    scanner = licenses.Scanner({})
-    for label, template in licenses.TEMPLATES:
-        tokens = sorted(set(template.split()))
-        need = math.ceil(0.8 * len(tokens) - 1e-9)
-        for n in (need, need - 1):
-            chosen = tokens[:n]
-            ids = np.array([scanner.ids[t] for t in chosen])
-            assert (label in [x for _, x, _ in scanner.blocks(ids, np.zeros(len(ids), int))]) == (n >= need) or n < need
+    assert licenses.scan(docs.limit(0)).count() == 0
+    assert licenses.scan(docs.withColumn("labels", F.lit("x")), keep=["doc_id", "labels"]).columns.count("labels") == 1
 
 
 def scanned_by_force(text, templates):
-    """Labels and score of one text over all its lines, windows and phrases."""
+    """Labels, score and findings of one text over all its windows and phrases."""
     base = licenses.brute_force(text)
-    labels, best = set(filter(None, base["base_labels"].split(","))), 1.0 if base["n_base"] else 0.0
-    words = re.findall(r"[0-9a-z]+", text.lower())
+    words, found = licenses.words_of(text), []
     for label, template in templates:
-        own, width = set(template.split()), math.ceil(len(template.split()) / 0.8 - 1e-9)
-        blocks = [re.findall(r"[0-9a-z]+", x) for x in text.lower().split("\n")] + [words[k : k + width] for k in range(len(words))]
-        most = max((len(own & set(b)) for b in blocks), default=0)
-        if most >= math.ceil(0.8 * len(own) - 1e-9):
-            labels.add(label)
-            best = max(best, most / len(own))
-    return ",".join(sorted(labels)), best
+        own, width = set(licenses.words_of(template)), math.ceil(len(licenses.words_of(template)) / 0.8 - 1e-9)
+        need = math.ceil(0.8 * len(own) - 1e-9)
+        counts = [len(own & set(words[k : k + width])) for k in range(len(words))]
+        k = 0
+        while k < len(words):
+            stop = k
+            while stop < len(words) and counts[stop] >= need:
+                stop += 1
+            if stop > k:
+                best = max(counts[k:stop])
+                start = max(w for w in range(k, stop) if counts[w] == best and (w == k or counts[w - 1] != best))  # any place of the best does
+                found.append((start, min(start + width, len(words)), label, best / len(own)))
+            k = max(stop, k + 1)
+    best = max([y for *_, y in found] + [1.0 if base["n_base"] else 0.0])
+    return set(filter(None, base["base_labels"].split(","))), found, best
+
+
+LICENSED = {
+    "bsd": "Copyright (c) A\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n1. x",
+    "mit": "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the \"Software\"), to deal",
+    "gpl": "  This program is free software: you can redistribute it and/or modify\r\n  it under the terms of the GNU General Public License as published by\r\n  the Free",
+    "lgpl": "  This library is free software; you can redistribute it and/or modify\n  it under the terms of the GNU Lesser General Public License",
+    "isc": " * Permission to use, copy, modify, and/or distribute this software for any\n * purpose with or without fee is hereby granted, provided that",
+    "apache": "// Licensed under the Apache License, Version 2.0 (the \"License\");\n//\n// you may not use this file except in compliance with the License.",
+    "zlib": "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any\ndamages arising from the use of this software.",
+}
 
 
 def test_licenses_wrapped(spark):
-    wrapped = {
-        "bsd": "Copyright (c) A\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n1. x",
-        "mit": "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the \"Software\"), to deal",
-        "gpl": "  This program is free software: you can redistribute it and/or modify\r\n  it under the terms of the GNU General Public License as published by\r\n  the Free",
-        "isc": " * Permission to use, copy, modify, and/or distribute this software for any\n * purpose with or without fee is hereby granted, provided that",
-        "apache": "// Licensed under the Apache License, Version 2.0 (the \"License\");\n//\n// you may not use this file except in compliance with the License.",
-    }
-    one_word = [t for _, t in licenses.TEMPLATES]
-    texts = list(wrapped.items()) + [(f"{label} by word", "\n".join(t.split())) for label, t in licenses.TEMPLATES]
-    texts += [("split", one_word[4][:60]), ("split", one_word[4][60:]), ("empty", ""), ("far", "\n".join(one_word[4].replace(" and ", " and " + "x " * 9).split()))]
+    paragraphs = [licenses.words_of(t) for _, t in licenses.TEMPLATES]
+    texts = list(LICENSED.items()) + [(label, "\n".join(licenses.words_of(t))) for label, t in licenses.TEMPLATES]
+    whole = " ".join(t for label, t in licenses.TEMPLATES if label == "mit")
+    texts += [("split", whole[:60]), ("split", whole[60:110]), ("empty", ""), ("far", "\n".join(" ".join(paragraphs[4]).replace(" and ", " and " + "x " * 9).split()))]
     rng = np.random.default_rng(5)
-    for k in range(150):
-        parts = " ".join(one_word[i] for i in rng.integers(0, 10, 3)).split()
+    for _ in range(150):
+        parts = [w for i in rng.integers(0, len(paragraphs), 3) for w in paragraphs[i]]
         parts = [w if rng.random() < 0.9 else "other" for w in parts if rng.random() < 0.95]
         texts.append(("random", "".join(w + ("\n" if rng.random() < 0.2 else " ") for w in parts)))
     df = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id bigint, text string").repartition(2)
     for templates in (licenses.TEMPLATES, (*licenses.TEMPLATES, ("short", "other"))):
         got = {r["doc_id"]: r for r in licenses.scan(df, keep=["doc_id"], templates=templates, with_spans=True).collect()}
         for k, (name, t) in enumerate(texts):
-            labels, score = scanned_by_force(t, templates)
-            assert (got[k]["labels"], round(got[k]["score"], 9)) == (labels, round(score, 9)), (name, t)
-            assert name not in wrapped or name in labels.split(",")
-            assert {s["label"] for s in got[k]["spans"]} == set(filter(None, labels.split(",")))
+            base, found, score = scanned_by_force(t, templates)
+            labels = set(filter(None, got[k]["labels"].split(",")))
+            assert round(got[k]["score"], 9) == round(score, 9), (name, t)
+            # Where findings meet, the best stays: a label is there if a finding of it meets none that is better, by any choice of best windows.
+            sure = {x for _, _, x, y in found if not any(z > y and label != x for _, _, label, z in found)}
+            assert base | sure <= labels <= base | {x for _, _, x, _ in found}, (name, t)
+            assert name not in LICENSED or name in labels
+            assert {s["label"] for s in got[k]["spans"]} == labels
     assert [s["label"] for s in licenses.scan(df.where("doc_id = 0"), with_spans=True).first()["spans"]] == ["bsd"]
+    assert licenses.scan(df.where("doc_id = 2")).first()["labels"] == "gpl" and licenses.scan(df.where("doc_id = 3")).first()["labels"] == "lgpl"
+
+
+def test_license_windows_and_filters():
+    """Findings, before the best are chosen, against every window; each filter stops stretches and none that holds a template."""
+    rng = np.random.default_rng(9)
+    tokens = licenses.template_tokens()
+    paragraphs = [licenses.words_of(t) for _, t in licenses.TEMPLATES]
+    scanner = licenses.Scanner({t: int(rng.integers(0, 99)) for t in tokens})
+    for _ in range(60):
+        text = [w for i in rng.integers(0, len(paragraphs), 4) for w in paragraphs[i] if rng.random() < 0.9]
+        text += list(rng.choice(tokens + ["other"] * 9 * len(tokens), 900)) + list(rng.choice(tokens, 100))
+        ids = np.array([scanner.ids.get(w, -1) for w in text], np.int32)
+        got = sorted((label, round(score, 9)) for _, _, label, score in scanner.windows(ids, np.array([0, len(ids)])))
+        assert got == sorted((label, round(score, 9)) for _, _, label, score in scanned_by_force(" ".join(text), licenses.TEMPLATES)[1])
+    prefix, length, position, counted = scanner.reached
+    assert prefix > length > position >= 60 and counted >= 60
+    assert licenses.best_by_place([(0, 9, "a", 0.8), (5, 14, "b", 0.9), (20, 29, "a", 0.8), (21, 30, "a", 1.0)]) == [(5, 14, "b", 0.9), (20, 29, "a", 0.8), (21, 30, "a", 1.0)]
 
 
 def repeats_by_force(texts):
