@@ -42,7 +42,8 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outputs = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    """Every document stored as telephony audio, read back and described; pcm16k is the stored PCM at 16 kHz."""
+    outputs = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "pcm16k")
     return telephony.store(_table(spark, sf_dir, "documents"), keep=["doc_id"], outputs=outputs)
 
 

@@ -104,29 +104,61 @@ def test_token_counts(spark, docs):
     assert token_counts.count(docs.limit(0), ranks).count() == 0
 
 
+def plain_adpcm(blocks):
+    """Plain decoding, sample by sample, of blocks of one signal."""
+    out = []
+    for block in blocks:
+        value, index = int.from_bytes(bytes(block[:2]), "little", signed=True), int(block[2])
+        out.append(value)
+        for byte in block[4:]:
+            for code in (byte & 15, byte >> 4):
+                step = int(telephony.STEPS[index])
+                d = (step >> 3) + (step if code & 4 else 0) + (step >> 1 if code & 2 else 0) + (step >> 2 if code & 1 else 0)
+                value = max(-32768, min(32767, value - d if code & 8 else value + d))
+                index = max(0, min(88, index + int(telephony.INDEX_STEP[code])))
+                out.append(value)
+    return out
+
+
 def test_telephony(spark, docs):
     out = telephony.store(docs, keep=["doc_id", "text"])
+    assert telephony.store(docs.limit(0)).count() == 0
     for r in out.collect():
         raw = (r["text"] or "").encode()
         payload = raw + b"\xff" * (max(576, -(-len(raw) // 576) * 576) - len(raw))
         assert telephony.wave_read(bytes(r["media"])) == (7, 8000, payload)
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
-        assert r["media_bytes"] == len(r["media"]) and telephony.wave_read(bytes(r["pcm16k"]))[:2] == (1, 16000)
+        assert r["media_bytes"] == len(r["media"]) and r["media_sha256"] == hashlib.sha256(r["media"]).hexdigest()
+        if len(raw) > 10_000:
+            continue
+        # Features, sample by sample.
+        x, n = [int(telephony.MU_LAW[b]) for b in payload], len(payload)
+        form, rate, coded = telephony.wave_read(bytes(r["alaw"]))
+        assert (form, rate) == (6, 8000) and all(abs(int(telephony.A_LAW[c]) - v) == min(abs(int(a) - v) for a in telephony.A_LAW) for c, v in zip(coded, x))
+        form, _, coded_b = telephony.wave_read(bytes(r["adpcm"]))
+        heard = plain_adpcm([coded_b[k : k + 64] for k in range(0, len(coded_b), 64)])
+        assert form == 17 and len(heard) == -(-n // 121) * 121
+        odd = [max(-32768, min(32767, (sum(int(t) * x[k + j - 15] for j, t in enumerate(telephony.TAPS) if 0 <= k + j - 15 < n) + 16384) >> 15)) for k in range(n)]
+        pcm = np.array([v for pair in zip(x, odd) for v in pair], "<i2").tobytes()
+        assert telephony.wave_read(bytes(r["pcm16k"])) == (1, 16000, pcm)
+        turns = sum((a < 0) != (b < 0) for a, b in zip(x, x[1:]))
+        far = lambda y: sum(abs(a - b) for a, b in zip(x, y)) / n
+        assert r["feature"] == f"mean={sum(x) / n:.3f};rms={(sum(v * v for v in x) / n) ** 0.5:.3f};alaw={far([int(telephony.A_LAW[c]) for c in coded]):.3f};adpcm={far(heard):.3f};turns={turns};pcm16k={zlib.crc32(pcm):08x}"
     assert telephony.MU_LAW[[0x00, 0x80, 0xFF, 0x7F]].tolist() == [-32124, 32124, 0, 0] and telephony.A_LAW[[0xD5, 0x55, 0xAA, 0x2A]].tolist() == [8, -8, 32256, -32256]
+
+
+def test_telephony_quality():
     wave = (np.sin(np.arange(2000) / 9) * 9000).astype(np.int16)
-    blocks = np.frombuffer(telephony.adpcm_encode(wave), np.uint8).reshape(-1, telephony.BLOCK)
-    back = telephony.adpcm_decode(blocks).ravel()[: len(wave)]
+    edges = np.array([0, 2000])
+    at, first = telephony.in_blocks(edges)
+    back = telephony.adpcm_decode(telephony.adpcm_blocks(wave[at])).ravel()[telephony.places(edges, first)]
     assert np.abs(back.astype(int) - wave).mean() < 300
-    value, index = int.from_bytes(bytes(blocks[0, :2]), "little", signed=True), int(blocks[0, 2])  # plain decoding of one block
-    plain = [value]
-    for byte in blocks[0, 4:]:
-        for code in (byte & 15, byte >> 4):
-            step = int(telephony.STEPS[index])
-            d = (step >> 3) + (step if code & 4 else 0) + (step >> 1 if code & 2 else 0) + (step >> 2 if code & 1 else 0)
-            value = max(-32768, min(32767, value - d if code & 8 else value + d))
-            index = max(0, min(88, index + int(telephony.INDEX_STEP[code])))
-            plain.append(value)
-    assert telephony.adpcm_decode(blocks)[0].tolist() == plain
+    for hertz in (300, 1000, 3000):  # a tone stays, and its image about 4 kHz is 50 dB down
+        tone = np.round(np.sin(2 * np.pi * hertz * np.arange(4000) / 8000) * 20000).astype(np.int16)
+        power = np.abs(np.fft.rfft(telephony.resample_double(tone, np.array([0, 4000]))[500:-500] * np.hanning(7000)))
+        bins = np.arange(len(power)) * 16000 / 7000
+        near = lambda f: power[np.abs(bins - f) < 20].max()
+        assert near(8000 - hertz) < near(hertz) / 300
 
 
 def test_near_duplicates(spark, docs):
