@@ -433,6 +433,57 @@ def test_html(spark):
     got = {r["page_id"]: (r["text"], r["n_chars"]) for r in htmltext.extract(df, chain).collect()}
     text = "A & B\n\nFirst par bold\n\nSecond é one, of some length."
     assert got == {1: (text, len(text)), 2: ("", 0), 3: ("", 0)}
+    assert htmltext.extract(df.limit(0), chain).count() == 0 and htmltext.extract(df.union(df), chain).where("page_id = 1").count() == 2
+
+
+def test_html_other_layouts():
+    chain = htmltext.train_default()
+    paragraphs = ["A headline of some words", "This is the first paragraph of an article, with a comma in it and a full stop.", "And the second one goes on for a while, as second paragraphs do."]
+    h, a, b = paragraphs
+    pages = [
+        f'<nav><a href=a>Home</a> <a href=b>News</a></nav><article><h1>{h}</h1><p>{a}</p><p>{b}</p></article><h2>3 replies</h2><article class="reply"><p>Anna says:</p><p>I really enjoyed reading this, thanks a lot.</p></article><article class="reply"><p>Not my view at all, but well written.</p></article><footer>&copy; 2020</footer>',
+        f"<div><div><a href=x>Home</a> | <a href=y>About</a> | <a href=z>Contact</a></div><div>{h}</div><div>{a}</div><div>{b}</div><div>Copyright 2020 Somebody. All rights reserved.</div></div>",
+        f"<table><tr><td><a href=a>Home</a><br><a href=b>Products</a><br><a href=c>Contact</a></td><td><h1>{h}</h1><p>{a}</p><p>{b}</p></td></tr></table>",
+    ]
+    for page in pages:
+        assert htmltext.main_text(f"<html><head><title>{h}</title></head><body>{page}</body></html>", chain) == "\n\n".join(paragraphs)
+
+
+def test_html_tokens_and_linear_time():
+    import time
+
+    plain = lambda page: [x[0] for x in htmltext.leaf_blocks(page)]
+    assert plain("a<p title='x > y' q=\"'>\">b</p>c < d<br>e<!-- <p>f --><script>g</p></SCRIPT >h<select><option>i</select>j") == ["a", "b", "c < d ehj"]
+    assert plain("a<p title='x > y'>b</p>c < d") == ["a", "b", "c < d"]
+    assert plain("a <b title=it's>b</b> c") == ["a b c"] and plain("x <y and z") == ["x <y and z"]
+    assert plain("a<!-- b") == ["a"] and plain("a<script>b") == ["a"] and plain("a<select>b") == ["ab"] and plain('<p class="x>a</p><p>b') == ["a", "b"]
+    chain = htmltext.train_default()
+    for unit in ("<a ", '<a "', '<a <a " >', "<div class=x>", "<div class=x>y</b>", "<i><div><b>", '<a href="', "<select>", "<p>&amp", "</p>", "<b></i>"):
+        began = time.perf_counter()
+        htmltext.main_text(unit * (1_000_000 // len(unit)), chain)
+        assert time.perf_counter() - began < 20, unit
+
+
+def test_html_viterbi_and_gradients_by_force():
+    import itertools
+
+    chain = htmltext.train_default()
+    for source, _ in htmltext.labelled_pages(12, 3):
+        rows = htmltext.features(htmltext.leaf_blocks(source))[:10]
+        assert chain.score(rows, chain.labels(rows)) == pytest.approx(max(chain.score(rows, y) for y in itertools.product((0, 1), repeat=len(rows))))
+    pages = [(htmltext.features(htmltext.leaf_blocks(source)), labels) for source, labels in htmltext.labelled_pages(3, 4)]
+    names, gradient = htmltext.likelihood(pages, 0.01)
+    rng = np.random.default_rng(0)
+    w, step = rng.normal(0, 0.3, (len(names), 2)), rng.normal(0, 0.3, (2, 2))
+    _, grad, grad_step = gradient(w, step)
+    for at in [(k, y) for k in rng.integers(0, len(names), 6) for y in (0, 1)]:
+        d = np.zeros_like(w)
+        d[at] = 1e-2
+        assert grad[at] == pytest.approx((gradient(w + d, step)[0] - gradient(w - d, step)[0]) / 2e-2, abs=2e-3)
+    for at in itertools.product((0, 1), repeat=2):
+        d = np.zeros_like(step)
+        d[at] = 1e-2
+        assert grad_step[at] == pytest.approx((gradient(w, step + d)[0] - gradient(w, step - d)[0]) / 2e-2, abs=2e-3)
 
 
 def test_pipeline(spark, docs, tmp_path):
