@@ -15,7 +15,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import bytes_of_text, materialize, small
+from .store import bytes_of_text, hot_parts, materialize, release, small
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 SHINGLE, BITS, LANE = 5, 128, 0x0000000100000001
@@ -103,7 +103,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Edited: the last floor(n_chars / 3) code points give way to the first as many of the next document
     in descending order of id, the first following the last; rows with one id follow each other by
     text, a null id comes last. Returns per row doc_id, n_chars, edited_sha256, lo, hi,
-    edited_lo, edited_hi, near_edited, near_next. A single row is its own next. An empty table gives none.
+    edited_lo, edited_hi, near_edited, near_next. A single row is its own next; repeated rows follow each
+    other; very long texts are taken whole. Other columns are not read, whatever their names. An empty
+    table gives none.
     """
     line = _next_in_line(docs, id_col, text_col)
     n = F.char_length("text")
@@ -137,6 +139,7 @@ def within(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataF
     Both sides have lo, hi; queries are distinct, prints have ``docs``, the number of documents of a
     fingerprint. Every choice of BLOCKS - radius blocks that may stay whole is a table keyed by those
     blocks. A pair comes out of its first table alone, so no pair is repeated and none is sorted out later.
+    A hot key's fingerprints are dealt to several tasks, to each of which its queries go.
     """
     if not 0 <= radius < BLOCKS:
         raise ValueError(f"the radius must lie in 0..{BLOCKS - 1}")
@@ -147,16 +150,22 @@ def within(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataF
         return df.select("*", F.explode(F.array(*keys)).alias("__k")).select(*df.columns, "__k.t", "__k.k")
 
     left, right = keyed(queries.select(F.col("lo"), F.col("hi"))), keyed(prints.select("lo", "hi", "docs"))
-    left = left.select(F.col("lo").alias("q_lo"), F.col("hi").alias("q_hi"), F.col("t").alias("q_t"), F.col("k").alias("q_k"))
+    hot = hot_parts(right, ["t", "k"], prints.count() * len(tables))
+    parts = F.coalesce("__parts", F.lit(1))
+    right = right.join(hot, ["t", "k"], "left").withColumn("s", F.pmod(F.xxhash64("lo", "hi"), parts).cast("int"))
+    left = left.join(hot, ["t", "k"], "left").withColumn("s", F.explode(F.sequence(F.lit(0), parts - 1)))
+    left = left.select(F.col("lo").alias("q_lo"), F.col("hi").alias("q_hi"), F.col("t").alias("q_t"), F.col("k").alias("q_k"), F.col("s").alias("q_s"))
     same = [(_block(i) == _block(i, "q_")) for i in range(BLOCKS)]
     earliest = F.coalesce(*[F.when(F.reduce(F.array(*[same[i] for i in own]), F.lit(True), lambda a, b: a & b), F.lit(t)) for t, own in enumerate(tables)])
     far = F.bit_count(F.col("lo").bitwiseXOR(F.col("q_lo"))) + F.bit_count(F.col("hi").bitwiseXOR(F.col("q_hi")))
-    return left.join(right, (F.col("q_t") == F.col("t")) & (F.col("q_k") == F.col("k")) & (far <= radius) & (earliest == F.col("t"))).select("q_lo", "q_hi", "lo", "hi", "docs", far.alias("distance"))
+    return left.join(right, (F.col("q_t") == F.col("t")) & (F.col("q_k") == F.col("k")) & (F.col("q_s") == F.col("s")) & (far <= radius) & (earliest == F.col("t"))).select("q_lo", "q_hi", "lo", "hi", "docs", far.alias("distance"))
 
 
 def search(prints: DataFrame, is_query: Column, radius: int = RADIUS) -> DataFrame:
     """prints and n_within: for query rows the number of other rows within ``radius`` bits, else null."""
     distinct = materialize(prints.groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("docs"), F.max(F.coalesce(is_query, F.lit(False))).alias("asked")), "prints")
     found = within(distinct, distinct.where("asked"), radius).groupBy("q_lo", "q_hi").agg((F.sum("docs") - 1).alias("__within"))
+    found = materialize(found, "within")
+    release(distinct)
     out = prints.join(found, (F.col("lo") == F.col("q_lo")) & (F.col("hi") == F.col("q_hi")) & F.coalesce(is_query, F.lit(False)), "left")
     return out.select(*prints.columns, F.col("__within").alias("n_within"))

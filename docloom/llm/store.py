@@ -15,8 +15,9 @@ BROADCAST_ROWS = 20_000
 
 #: Bytes of an Arrow batch; a longer row stands alone, whole.
 BATCH_BYTES, BATCH_CONF = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
-#: Rows of one key that a salted join deals to one copy of the key's row.
-SALT_ROWS = 1_000
+#: Rows of one key that a salted join deals to one copy of the key's rows at least; a key with less than
+#: 1 / HOT_KEYS of all rows isn't split, so fewer than HOT_KEYS keys are.
+SALT_ROWS, HOT_KEYS = 1_000, 10_000
 #: Spark drops a query's shuffle files when it ends: what follows reads the written table.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -72,14 +73,19 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def hot_parts(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """keys and __parts, into how many parts a hot key's rows are dealt; a broadcast of fewer than HOT_KEYS rows. n: the number of rows."""
+    limit = max(SALT_ROWS, n // HOT_KEYS)
+    counts = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("__parts")).where("__parts > 1")
+    return F.broadcast(materialize(counts, "parts"))
+
+
 def salted(pairs: DataFrame, table: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """pairs with ``out``, the ``value`` of the table's rows whose ``id`` is in column ``key``.
 
-    An id with over SALT_ROWS pairs has its rows repeated, and its pairs dealt to the copies: no task gets them all.
+    A hot id has its rows repeated, and its pairs dealt to the copies: no task gets them all.
     """
-    counts = pairs.groupBy(F.col(key).alias("__id")).agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("__parts")).where("__parts > 1")
-    counts = materialize(counts, "parts")
-    few = small(counts)
+    few = hot_parts(pairs, [key], pairs.count()).withColumnRenamed(key, "__id")
     dealt = pairs.join(few, pairs[key] == F.col("__id"), "left").drop("__id")
     other = F.xxhash64(*[c for c in pairs.columns if c != key])
     dealt = dealt.withColumn("__salt", F.pmod(other, F.coalesce("__parts", F.lit(1))).cast("int")).drop("__parts")

@@ -45,7 +45,34 @@ def test_fingerprints(spark, docs):
     assert same[8] == same[9] and same[5] == same[6] == same[7]
 
 
-def test_hamming_search(spark):
+def test_fingerprint_votes_by_force(spark, docs):
+    import xxhash
+
+    hashed = lambda parts, seed=42: [seed := xxhash.xxh64(p, seed=seed).intdigest() for p in parts][-1] if parts else seed
+
+    def plain(text):
+        words = [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
+        terms = [hashed(words[k : k + 5]) for k in range(max(1, len(words) - 4))]
+        more = [hashed([h.to_bytes(8, "little"), (128).to_bytes(4, "little")]) for h in terms]
+        return tuple(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in each) > len(each)) for each in (terms, more))
+
+    line = sorted(((d, t or "") for d, t in TEXTS if d not in (10, 11, None)), key=lambda r: (-r[0], r[1]))
+    got = simhash.fingerprints(docs.where("doc_id NOT IN (10, 11)")).collect()
+    unsigned = lambda *longs: tuple(v & (1 << 64) - 1 for v in longs)
+    far = lambda a, b: 1 - sum(bin(x ^ y).count("1") for x, y in zip(a, b)) / 128
+    want = []
+    for k, (d, t) in enumerate(line):
+        after = line[(k + 1) % len(line)][1]
+        edited = t[: len(t) - len(t) // 3] + after[: len(t) // 3]
+        want.append((d, *plain(t), *plain(edited), far(plain(t), plain(edited)), far(plain(t), plain(after))))
+    assert sorted((r["doc_id"], *unsigned(r["lo"], r["hi"], r["edited_lo"], r["edited_hi"]), r["near_edited"], r["near_next"]) for r in got) == sorted(want)
+
+
+@pytest.mark.parametrize("salt", [1000, 3])
+def test_hamming_search(spark, monkeypatch, salt):
+    from docloom.llm import store
+
+    monkeypatch.setattr(store, "SALT_ROWS", salt)
     rng = np.random.default_rng(1)
     base = [(int(a), int(b)) for a, b in rng.integers(-(2**63), 2**63 - 1, (30, 2))]
     values = list(base)
