@@ -6,12 +6,18 @@ import struct
 
 from . import DocumentError
 
+# Where systems keep fonts with many characters, the first that fits best wins.
 SYSTEM_FONTS = (
-    "/usr/share/fonts/truetype/dejavu/DejaVuSans.ttf",
-    "/usr/share/fonts/truetype/noto/NotoSans-Regular.ttf",
-    "/usr/share/fonts/truetype/wqy/wqy-microhei.ttc",
-    "/usr/share/fonts/truetype/arphic/uming.ttc",
-)
+    "C:\\Windows\\Fonts\\simhei.ttf", "C:\\Windows\\Fonts\\msyh.ttc", "C:\\Windows\\Fonts\\simsun.ttc", "C:\\Windows\\Fonts\\simkai.ttf", "C:\\Windows\\Fonts\\simfang.ttf", "C:\\Windows\\Fonts\\STSONG.TTF", "C:\\Windows\\Fonts\\STXIHEI.TTF",
+    "/System/Library/Fonts/PingFang.ttc", "/System/Library/Fonts/Hiragino Sans GB.ttc", "/System/Library/Fonts/STHeiti Medium.ttc",
+    "/usr/share/fonts/opentype/noto/NotoSansCJK-Regular.ttc", "/usr/share/fonts/truetype/wqy/wqy-zenhei.ttc", "/usr/share/fonts/truetype/arphic/uming.ttc", "/usr/share/fonts/truetype/droid/DroidSansFallbackFull.ttf",
+    "/usr/share/fonts/truetype/dejavu/DejaVuSans.ttf", "/usr/share/fonts/truetype/noto/NotoSans-Regular.ttf", "/usr/share/fonts/truetype/wqy/wqy-microhei.ttc",
+)
+
+
+def font_paths(given) -> list[str]:
+    """The paths of an option that may hold anything: texts, trimmed, without blank ones."""
+    return [p.strip() for p in given if isinstance(p, str) and p.strip()] if isinstance(given, (list, tuple)) else []
 
 
 class TrueType:

@@ -17,6 +17,7 @@ _WHITE, _DELIMITER = b"\0\t\n\f\r ", b"()<>[]{}/%"
 _SKIP = re.compile(rb"(?:[\0\t\n\f\r ]+|%[^\r\n]*)*")
 _REGULAR = re.compile(rb"[^\0\t\n\f\r ()<>\[\]{}/%]+")
 _NUMBER = re.compile(rb"[+-]*\d*\.?\d*(?:-\d*)?")
+_PLAIN = re.compile(rb"\(([^()\\]*)\)")
 _REFERENCE = re.compile(rb"(\d+)[\0\t\n\f\r ]+(\d+)[\0\t\n\f\r ]+R(?![^\0\t\n\f\r ()<>\[\]{}/%])")
 _OBJECT = re.compile(rb"(?<![0-9])(\d{1,10})[\0\t\n\f\r ]+(\d{1,5})[\0\t\n\f\r ]+obj")
 
@@ -38,6 +39,11 @@ class Stream(NamedTuple):
     raw: bytes
 
 
+def whole(value: Any, default: int, least: int = 0, most: int = 1 << 31) -> int:
+    """An integer within bounds, else the default: dictionaries hold anything."""
+    return int(value) if isinstance(value, (int, float)) and not isinstance(value, bool) and least <= value <= most else default
+
+
 class Parser:
     """PDF values from bytes; every call moves forward."""
 
@@ -99,6 +105,9 @@ class Parser:
         return {b"true": True, b"false": False, b"null": None}.get(word, Word(word))
 
     def _literal(self) -> bytes:
+        if plain := _PLAIN.match(self.data, self.at):
+            self.at = plain.end()
+            return plain[1]
         d, at, depth, out = self.data, self.at + 1, 1, bytearray()
         escapes = {110: 10, 114: 13, 116: 9, 98: 8, 102: 12}
         while at < len(d):
@@ -148,9 +157,9 @@ class Parser:
 
 
 def _predict(data: bytes, info: dict) -> bytes:
-    kind, columns = int(info.get("Predictor") or 1), int(info.get("Columns") or 1)
-    unit = max(1, int(info.get("Colors") or 1) * int(info.get("BitsPerComponent") or 8) // 8)
-    width = max(1, (columns * int(info.get("Colors") or 1) * int(info.get("BitsPerComponent") or 8) + 7) // 8)
+    kind, columns = whole(info.get("Predictor"), 1), whole(info.get("Columns"), 1, 1, 1 << 20)
+    bits = whole(info.get("Colors"), 1, 1, 32) * whole(info.get("BitsPerComponent"), 8, 1, 32)
+    unit, width = max(1, bits // 8), (columns * bits + 7) // 8
     if kind == 2:
         out = bytearray(data)
         for start in range(0, len(out), width):
@@ -278,7 +287,7 @@ class Document:
             if isinstance(s, Stream):
                 data = self.decode(s) or b""
                 p, first = Parser(data), self.get(s.info.get("First"))
-                n = min(self.get(s.info.get("N")) or 0, MAX_OBJECTS)
+                n = whole(self.get(s.info.get("N")), 0, 0, MAX_OBJECTS)
                 heads = [p.value() for _ in range(2 * n)]
                 self.packs[holder] = [(a, Parser(data, first + b)) for a, b in zip(heads[::2], heads[1::2]) if isinstance(a, int) and isinstance(b, int) and isinstance(first, int)]
         return next((p.value() for n, p in self.packs[holder] if n == number), None)
@@ -345,10 +354,12 @@ class Document:
         s = self._at(offset, None)
         if not isinstance(s, Stream) or s.info.get("Type") != "XRef":
             return None
-        data, widths = self.decode(s) or b"", [self.get(w) for w in self.get(s.info.get("W")) or []]
-        if len(widths) < 3 or not all(isinstance(w, int) for w in widths) or not sum(widths):
+        data, widths = self.decode(s) or b"", self.get(s.info.get("W"))
+        widths = [whole(self.get(w), -1, 0, 8) for w in widths] if isinstance(widths, list) else []
+        if len(widths) < 3 or min(widths) < 0 or not sum(widths):
             return s.info
-        index = self.get(s.info.get("Index")) or [0, self.get(s.info.get("Size")) or 0]
+        index = self.get(s.info.get("Index"))
+        index = [whole(self.get(i), 0) for i in index] if isinstance(index, list) else [0, whole(self.get(s.info.get("Size")), 0)]
         at = 0
         for begin, count in zip(index[::2], index[1::2]):
             for number in range(begin, begin + min(count, MAX_OBJECTS)):
@@ -394,7 +405,7 @@ class Document:
 
 
 def _glyphs() -> dict[str, str]:
-    """Glyph names of the Latin sets, from Unicode's own names."""
+    """Glyph names of accented Latin and of Greek letters, from Unicode's own names."""
     import unicodedata
 
     out = {}
@@ -403,24 +414,32 @@ def _glyphs() -> dict[str, str]:
         m = re.fullmatch(r"LATIN (SMALL|CAPITAL) LETTER ([A-Z]) WITH (.+)", unicodedata.name(chr(code), ""))
         if m and m[3] in marks:
             out[(m[2].lower() if m[1] == "SMALL" else m[2]) + marks[m[3]]] = chr(code)
+    for code in range(0x391, 0x3CA):
+        m = re.fullmatch(r"GREEK (SMALL|CAPITAL) LETTER (FINAL )?([A-Z]+)", unicodedata.name(chr(code), ""))
+        if m:
+            name = m[3].replace("LAMDA", "LAMBDA")
+            out[(name.lower() if m[1] == "SMALL" else name.capitalize()) + ("1" if m[2] else "")] = chr(code)
     return out
 
 
-# Glyph names of ASCII signs and of common typographic signs.
-GLYPHS = {
+# Glyph names of ASCII signs, of Latin-1 signs and letters, and of typographic signs. A Greek small mu is mu2, mu the micro sign.
+GLYPHS = _glyphs() | {
     "space": " ", "exclam": "!", "quotedbl": '"', "numbersign": "#", "dollar": "$", "percent": "%", "ampersand": "&", "quotesingle": "'", "parenleft": "(", "parenright": ")", "asterisk": "*", "plus": "+", "comma": ",", "hyphen": "-", "period": ".", "slash": "/",
     "zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9", "colon": ":", "semicolon": ";", "less": "<", "equal": "=", "greater": ">", "question": "?", "at": "@",
     "bracketleft": "[", "backslash": "\\", "bracketright": "]", "asciicircum": "^", "underscore": "_", "grave": "`", "braceleft": "{", "bar": "|", "braceright": "}", "asciitilde": "~",
-    "quoteleft": "‘", "quoteright": "’", "quotedblleft": "“", "quotedblright": "”", "endash": "–", "emdash": "—", "bullet": "•", "ellipsis": "…", "dagger": "†", "Euro": "€", "trademark": "™", "copyright": "©", "registered": "®", "degree": "°", "section": "§", "germandbls": "ß", "ae": "æ", "AE": "Æ", "oe": "œ", "OE": "Œ", "oslash": "ø", "Oslash": "Ø", "fi": "fi", "fl": "fl", "ff": "ff", "ffi": "ffi", "ffl": "ffl", "guillemotleft": "«", "guillemotright": "»", "nbspace": "\xa0",
+    "nbspace": "\xa0", "exclamdown": "¡", "cent": "¢", "sterling": "£", "currency": "¤", "yen": "¥", "brokenbar": "¦", "section": "§", "dieresis": "¨", "copyright": "©", "ordfeminine": "ª", "guillemotleft": "«", "logicalnot": "¬", "registered": "®", "macron": "¯",
+    "degree": "°", "plusminus": "±", "twosuperior": "²", "threesuperior": "³", "acute": "´", "mu": "µ", "paragraph": "¶", "periodcentered": "·", "cedilla": "¸", "onesuperior": "¹", "ordmasculine": "º", "guillemotright": "»", "onequarter": "¼", "onehalf": "½", "threequarters": "¾", "questiondown": "¿",
+    "AE": "Æ", "Eth": "Ð", "multiply": "×", "Oslash": "Ø", "Thorn": "Þ", "germandbls": "ß", "ae": "æ", "eth": "ð", "divide": "÷", "oslash": "ø", "thorn": "þ", "dotlessi": "ı", "Lslash": "Ł", "lslash": "ł", "OE": "Œ", "oe": "œ", "florin": "ƒ", "circumflex": "ˆ", "tilde": "˜", "mu2": "μ",
+    "endash": "–", "emdash": "—", "quoteleft": "‘", "quoteright": "’", "quotesinglbase": "‚", "quotedblleft": "“", "quotedblright": "”", "quotedblbase": "„", "dagger": "†", "daggerdbl": "‡", "bullet": "•", "ellipsis": "…", "perthousand": "‰", "guilsinglleft": "‹", "guilsinglright": "›", "fraction": "⁄",
+    "Euro": "€", "euro": "€", "trademark": "™", "minus": "−", "ff": "ﬀ", "fi": "ﬁ", "fl": "ﬂ", "ffi": "ﬃ", "ffl": "ﬄ",
 }
-GLYPHS |= _glyphs()
 
 
 def glyph_text(name: str) -> str | None:
-    """uniXXXX, uXXXX.., a known name or a single character."""
-    m = re.fullmatch(r"uni([0-9A-Fa-f]{4})|u([0-9A-Fa-f]{4,6})", name)
+    """uniXXXX (whatever follows), uXXXX.., a known name or a single character."""
+    m = re.match(r"uni([0-9A-Fa-f]{4})", name) or re.fullmatch(r"u([0-9A-Fa-f]{4,6})", name)
     if m:
-        code = int(m[1] or m[2], 16)
+        code = int(m[1], 16)
         return chr(code) if code <= 0x10FFFF and not 0xD800 <= code <= 0xDFFF else None
     return GLYPHS.get(name) or (name if len(name) == 1 else None)
 
@@ -467,7 +486,6 @@ class Font:
         info = info if isinstance(info, dict) else {}
         self.wide = 2 if info.get("Subtype") == "Type0" else 1
         self.map: dict[int, str] = {}
-        self.base = cp1252
         stream = doc.get(info.get("ToUnicode"))
         if isinstance(stream, Stream):
             self.map, wide = to_unicode(doc.decode(stream) or b"")
@@ -475,19 +493,21 @@ class Font:
         encoding = doc.get(info.get("Encoding"))
         if isinstance(encoding, dict):
             code = 0
-            for item in doc.get(encoding.get("Differences")) or []:
+            listed = doc.get(encoding.get("Differences"))
+            for item in listed if isinstance(listed, list) else ():
                 item = doc.get(item)
                 if isinstance(item, Name):
                     found = glyph_text(item)
                     if found is not None:
                         self.map[code] = found
                     code += 1
-                elif isinstance(item, (int, float)):
-                    code = int(item)
+                else:
+                    code = whole(item, code)
+        self.single = {c: t for c in range(256) if (t := self.map.get(c) or cp1252(c)) != chr(c)}
 
     def text(self, raw: bytes) -> str:
         if self.wide == 1:
-            return "".join(self.map.get(c) or self.base(c) for c in raw)
+            return raw.decode("latin-1").translate(self.single)
         codes = [int.from_bytes(raw[k : k + 2], "big") for k in range(0, len(raw), 2)]
         return "".join(self.map.get(c, "" if self.map else chr(c) if not 0xD800 <= c <= 0xDFFF else "") for c in codes)
 
@@ -573,6 +593,15 @@ def read_pdf(data: bytes, max_pages: int = MAX_PAGES, max_chars: int = MAX_CHARS
         raise DocumentError(f"the PDF file has more than {max_bytes} bytes")
     if b"%PDF-" not in data[:1024]:
         raise DocumentError("not a PDF file")
+    try:
+        return _read(data, max_pages, max_chars, max_objects)
+    except DocumentError:
+        raise
+    except Exception as e:  # whatever a malformed file leads to is an error of the file
+        raise DocumentError(f"malformed PDF file: {type(e).__name__}: {e}") from e
+
+
+def _read(data: bytes, max_pages: int, max_chars: int, max_objects: int) -> tuple[str, int, bool]:
     doc = Document(data, max_objects)
     if doc.get(doc.trailer.get("Encrypt")) is not None:
         raise DocumentError("encrypted PDF files aren't supported")

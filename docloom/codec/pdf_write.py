@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 import zlib
 
+import numpy as np
+
 from . import DocumentError
 from .csvtext import number_text
-from .fonts import SYSTEM_FONTS, TrueType, best_font
+from .fonts import SYSTEM_FONTS, TrueType, best_font, font_paths
 
 # A4 in points, margin, sizes, line height, smallest column.
 PAGE_WIDTH, PAGE_HEIGHT, MARGIN = 595.28, 841.89, 56.7
@@ -27,8 +29,11 @@ DATE = "D:20000101000000Z"
 class Helvetica:
     """The standard font in WinAnsi encoding."""
 
-    def width(self, c: str) -> float:
-        return (HELVETICA[ord(c) - 32] if 32 <= ord(c) <= 126 else OTHER_WIDTH) / 1000
+    name, missing = "Helvetica", 0
+    table = np.array([OTHER_WIDTH] * 32 + list(HELVETICA) + [OTHER_WIDTH]) / 1000
+
+    def widths(self, codes: np.ndarray) -> np.ndarray:
+        return self.table[np.minimum(codes, 127)]
 
     def show(self, s: str) -> bytes:
         raw = s.encode("cp1252", "replace")
@@ -39,10 +44,15 @@ class Embedded:
     """A TrueType font shown by glyph number."""
 
     def __init__(self, font: TrueType):
-        self.font, self.used = font, {}
+        self.font, self.used, self.known = font, {}, {}
+        self.name, self.missing = "embedded TrueType", 0
 
-    def width(self, c: str) -> float:
-        return self.font.width(self.font.cmap.get(ord(c), 0)) / self.font.units
+    def widths(self, codes: np.ndarray) -> np.ndarray:
+        each, where = np.unique(codes, return_inverse=True)
+        for c in each.tolist():
+            if c not in self.known:
+                self.known[c] = self.font.width(self.font.cmap.get(c, 0)) / self.font.units
+        return np.array([self.known[c] for c in each.tolist()])[where] if len(each) else np.zeros(0)
 
     def show(self, s: str) -> bytes:
         glyphs = [self.font.cmap.get(ord(c), 0) for c in s]
@@ -50,22 +60,26 @@ class Embedded:
         return b"<" + b"".join(b"%04X" % g for g in glyphs) + b">"
 
 
+def _codes(s: str) -> np.ndarray:
+    return np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def text_width(s: str, size: float, font=None) -> float:
-    font = font or Helvetica()
-    return sum(map(font.width, s)) * size
+    return float((font or Helvetica()).widths(_codes(s)).sum()) * size
 
 
 def wrap(text: str, width: float, size: float, font) -> list[str]:
     """Lines of at most ``width`` (a single character may be wider), cut between characters; tabs are four spaces."""
     out = []
     for line in text.replace("\r\n", "\n").replace("\t", "    ").split("\n"):
-        start, used = 0, 0.0
-        for k, c in enumerate(line):
-            w = font.width(c) * size
-            if k > start and used + w > width:
-                out.append(line[start:k])
-                start, used = k, 0.0
-            used += w
+        upto = np.cumsum(font.widths(_codes(line))) * size
+        start, n, before = 0, len(line), 0.0
+        while n - start and upto[-1] - before > width:
+            end = max(start + 1, int(np.searchsorted(upto, before + width + 1e-9, "right")))
+            if end >= n:
+                break
+            out.append(line[start:end])
+            start, before = end, float(upto[end - 1])
         out.append(line[start:])
     return out
 
@@ -159,18 +173,22 @@ def _font_objects(font) -> list[bytes]:
     ]
 
 
-def write_pdf(title: str | None = None, paragraphs: list[str] = (), rows: list[list] = (), fonts: list[str] = (), date: str = DATE) -> bytes:
-    """A4 pages with a title, paragraphs and a table. What Helvetica's WinAnsi can't show needs a TrueType font."""
+def write_pdf(title: str | None = None, paragraphs: list[str] = (), rows: list[list] = (), fonts: list[str] = (), date: str = DATE, facts: dict | None = None) -> bytes:
+    """A4 pages with a title, paragraphs and a table. What Helvetica's WinAnsi can't show needs a TrueType font.
+
+    facts gets pages, font and missing: how many distinct characters the font doesn't show.
+    """
     rows = [[number_text(c) for c in r] for r in rows or []]
     if not title and not paragraphs and not rows:
         raise DocumentError("a PDF document needs a title, paragraphs or rows")
     shown = set("".join([title or "", *paragraphs, *(c for r in rows for c in r)])) - set("\n\r\t")
     font = Helvetica()
     if not all(c.encode("cp1252", "ignore") for c in shown):
-        found = best_font([*fonts, *SYSTEM_FONTS], {c for c in shown if ord(c) > 127})
+        found = best_font([*font_paths(fonts), *SYSTEM_FONTS], {c for c in shown if ord(c) > 127})
         if found is None:
             raise DocumentError("no font covers these characters")
         font = Embedded(found)
+        font.missing = sum(ord(c) not in found.cmap for c in shown)
     page = Layout(font)
     if title:
         page.paragraph(title, TITLE_SIZE, True)
@@ -181,6 +199,8 @@ def write_pdf(title: str | None = None, paragraphs: list[str] = (), rows: list[l
     if rows and any(rows):
         page.table(rows)
     n = len(page.pages)
+    if facts is not None:
+        facts.update(pages=n, font=font.name, missing=font.missing)
     first_font = 3
     fonts_made = [re.sub(rb"@(\d)", lambda m: b"%d" % (first_font + int(m[1])), o) if b"stream\n" not in o else o for o in _font_objects(font)]
     first_page = first_font + len(fonts_made)

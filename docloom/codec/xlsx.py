@@ -18,7 +18,6 @@ _NUMBER = re.compile(r"[+-]?(?:\d+(?:\.\d+)?|\.\d+)(?:[eE][+-]?\d+)?", re.A)
 HEAD = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n'
 SHEET = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 OFFICE = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-PACKAGE = "http://schemas.openxmlformats.org/package/2006"
 
 
 def column_index(letters: str) -> int:
@@ -130,7 +129,9 @@ def _cell(row: int, column: int, value) -> str:
 
 
 def write_xlsx(rows: list[list], name: str | None = None) -> bytes:
-    """A workbook of one sheet; null cells are absent."""
+    """A workbook of one sheet; null cells are absent. What a sheet can't hold is an error, not cut."""
+    if len(rows) > MAX_ROWS or max(map(len, rows), default=0) > MAX_COLUMNS:
+        raise DocumentError(f"a sheet holds {MAX_ROWS} rows and {MAX_COLUMNS} columns at most")
     body = []
     for r, row in enumerate(rows):
         cells = "".join(_cell(r, c, v) for c, v in enumerate(row) if v is not None)
@@ -140,7 +141,8 @@ def write_xlsx(rows: list[list], name: str | None = None) -> bytes:
     size = f'<dimension ref="A1:{column_letters(max(0, width - 1))}{max(1, len(rows))}"/>'
     sheet = f'{HEAD}<worksheet xmlns="{SHEET}">{size}<sheetData>{"".join(body)}</sheetData></worksheet>'
     book = f'{HEAD}<workbook xmlns="{SHEET}" xmlns:r="{OFFICE}"><sheets><sheet name="{escape_attribute(sheet_name((name or "")[:NAME_LENGTH]))}" sheetId="1" r:id="rId1"/></sheets></workbook>'
-    kinds = "application/vnd.openxmlformats-officedocument.spreadsheetml."
-    types = f'{HEAD}<Types xmlns="{PACKAGE}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kinds}sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{kinds}worksheet+xml"/></Types>'
-    relation = lambda kind, target: f'{HEAD}<Relationships xmlns="{PACKAGE}/relationships"><Relationship Id="rId1" Type="{OFFICE}/{kind}" Target="{target}"/></Relationships>'
-    return write_zip([("[Content_Types].xml", types.encode()), ("_rels/.rels", relation("officeDocument", "xl/workbook.xml").encode()), ("xl/workbook.xml", book.encode()), ("xl/_rels/workbook.xml.rels", relation("worksheet", "worksheets/sheet1.xml").encode()), ("xl/worksheets/sheet1.xml", sheet.encode())])
+    # The package's parts.
+    types = f'{HEAD}<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>'
+    package_rels = f'{HEAD}<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>'
+    book_rels = f'{HEAD}<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/></Relationships>'
+    return write_zip([("[Content_Types].xml", types.encode()), ("_rels/.rels", package_rels.encode()), ("xl/workbook.xml", book.encode()), ("xl/_rels/workbook.xml.rels", book_rels.encode()), ("xl/worksheets/sheet1.xml", sheet.encode())])

@@ -97,12 +97,94 @@ def test_pdf_operators():
     assert pdf_read.read_pdf(one_page(zlib.compress(b"BT (flate) Tj ET"), more=b"/Filter /FlateDecode"))[0] == "flate"
     assert pdf_read.read_pdf(one_page(zlib.compress(b"BT (hex) Tj ET").hex().encode() + b">", more=b"/Filter [/ASCIIHexDecode /FlateDecode]"))[0] == "hex"
     assert pdf_read.read_pdf(one_page(b"x", more=b"/Filter /DCTDecode"))[:2] == ("", 1)
-    font = b"<< /Type /Font /Subtype /Type1 /Encoding << /Differences [65 /alpha /eacute /uni4E2D] >> >>"
-    assert pdf_read.read_pdf(one_page(b"BT /F1 9 Tf (ABC) Tj ET", font))[0] == "Aé中"
+    font = b"<< /Type /Font /Subtype /Type1 /Encoding << /Differences [65 /alpha /eacute /uni4E2D /sterling /Omega /multiply /fi /mu /sigma1 /nosuchname /thorn] >> >>"
+    assert pdf_read.read_pdf(one_page(b"BT /F1 9 Tf (ABCDEFGHIJK) Tj ET", font))[0] == "αé中£Ω×ﬁµςJþ"
     cmap = stream(b"1 begincodespacerange <0000> <FFFF> endcodespacerange 1 beginbfchar <0001> <4E2D> endbfchar 2 beginbfrange <0002> <0003> <0041> <0004> <0005> [<0058> <0059>] endbfrange")
     assert pdf_read.read_pdf(one_page(b"BT /F1 9 Tf <00010002000300040005> Tj ET", b"<< /Type /Font /Subtype /Type0 /ToUnicode 6 0 R >>", b"", cmap))[0] == "中ABXY"
 
 
+def numbers(*fields, widths=(1, 4, 2)):
+    return b"".join(v.to_bytes(w, "big") for v, w in zip(fields, widths))
+
+
+def test_pdf_cross_reference_and_object_streams():
+    """A file whose page tree lies in an object stream, found by a cross-reference stream with a PNG predictor."""
+    inner = [b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /Kids [3 0 R] /Count 1 >>", b"<< /Type /Page /Parent 2 0 R /Contents 5 0 R >>"]
+    heads, at = b"", 0
+    for k, o in enumerate(inner, 1):
+        heads += b"%d %d " % (k, at)
+        at += len(o) + 1
+    for form in ("plain", "flate", "predicted"):
+        packed = zlib.compress(heads + b"\n".join(inner))
+        out = b"%PDF-1.5\n"
+        pack_at = len(out)
+        out += b"4 0 obj\n%s\nendobj\n" % stream(packed, b"/Type /ObjStm /N 3 /First %d /Filter /FlateDecode" % len(heads))
+        page_at = len(out)
+        out += b"5 0 obj\n%s\nendobj\n" % stream(b"BT (packed) Tj ET")
+        start = len(out)
+        rows = [numbers(0, 0, 65535), *(numbers(2, 4, k) for k in range(3)), numbers(1, pack_at, 0), numbers(1, page_at, 0), numbers(1, start, 0)]
+        more, data = b"/Type /XRef /Size 7 /W [1 4 2] /Root 1 0 R ", b"".join(rows)
+        if form != "plain":
+            more += b"/Filter /FlateDecode "
+        if form == "predicted":
+            more += b"/DecodeParms << /Predictor 12 /Columns 7 >> "
+            data = b"".join(b"\2" + bytes((a - b) & 255 for a, b in zip(row, above)) for row, above in zip(rows, [bytes(7), *rows]))
+        out += b"6 0 obj\n%s\nendobj\nstartxref\n%d\n%%%%EOF" % (stream(data if form == "plain" else zlib.compress(data), more), start)
+        doc = pdf_read.Document(out)
+        assert doc.scanned is None and pdf_read.read_pdf(out) == ("packed", 1, False)
+
+
+def test_pdf_predictors_and_ascii85():
+    import base64
+
+    text = b"BT (predicted text here) Tj ET  "
+    rows = [text[k : k + 8] for k in range(0, len(text), 8)]
+    for kind in range(5):
+        data, above = b"", bytes(8)
+        for row in rows:
+            line = bytearray([kind])
+            for k, v in enumerate(row):
+                left, up, corner = (row[k - 1] if k else 0), above[k], (above[k - 1] if k else 0)
+                paeth = min((abs(up - corner), 0, left), (abs(left - corner), 1, up), (abs(left + up - 2 * corner), 2, corner))[2]
+                line.append(v - (0, left, up, (left + up) // 2, paeth)[kind] & 255)
+            data, above = data + bytes(line), row
+        parms = b"/Filter /FlateDecode /DecodeParms << /Predictor %d /Columns 8 >>" % (10 + kind)
+        assert pdf_read.read_pdf(one_page(zlib.compress(data), more=parms))[0] == "predicted text here"
+    tiff = b"".join(bytes(row[k] - (row[k - 1] if k else 0) & 255 for k in range(8)) for row in rows)
+    assert pdf_read.read_pdf(one_page(zlib.compress(tiff), more=b"/Filter /FlateDecode /DecodeParms << /Predictor 2 /Columns 8 >>"))[0] == "predicted text here"
+    assert pdf_read.read_pdf(one_page(base64.a85encode(b"BT (eighty\0\0\0\0five) Tj ET") + b"~>", more=b"/Filter /ASCII85Decode"))[0].replace("\0", "") == "eightyfive"
+
+
+JUNK = st.sampled_from([b"/Foo", b"-1", b"1e9", b"99999999999", b"(x)", b"[1 /A (b)]", b"<< /A 1 >>", b"null", b"true", b"4 0 R", b"9 0 R", b"5", b"0.5", b"<41>", b""])
+KEYS = "Predictor Columns Colors BitsPerComponent Filter DecodeParms Length N First W Index Size Type Kids Contents Resources Font Encoding Differences ToUnicode Root Pages Prev Subtype Encrypt".split()
+
+
+@given(st.lists(st.tuples(st.sampled_from(KEYS), JUNK), min_size=1, max_size=6), st.integers(0, 5))
+@settings(max_examples=300, deadline=None)
+def test_pdf_dictionaries_of_anything(entries, where):
+    """Only DocumentError comes out, whatever the values of dictionaries are."""
+    junk = b" ".join(b"/%s %s" % (k.encode(), v) for k, v in entries)
+    font = b"<< /Type /Font /Encoding << /Differences 5 %s >> %s >>" % (junk if where == 0 else b"", junk if where == 1 else b"")
+    whole = one_page(zlib.compress(b"BT /F1 9 Tf (found) Tj ET"), font, b"/Filter /FlateDecode /DecodeParms << %s >> %s" % (junk if where == 2 else b"", junk if where == 3 else b""))
+    if where >= 4:
+        whole = whole.replace(b"/Kids", junk + b" /Kids") if where == 4 else whole.replace(b"/Root", junk + b" /Root")
+    try:
+        text, pages, cut = pdf_read.read_pdf(whole)
+        assert isinstance(text, str) and pages >= 0
+    except DocumentError:
+        pass
+
+
+def test_documents_at_their_limits():
+    assert docx.read_docx(zippack.write_zip([("word/document.xml", b"<w:document><w:p><w:t>no body</w:t></w:p></w:document>")])) == "no body"
+    assert docx.read_docx(zippack.write_zip([("word/document.xml", b"<w:document><w:body/><w:p><w:t>after</w:t></w:p></w:document>")])) == ""
+    assert xlsx.read_xlsx(xlsx.write_xlsx([["x"] * xlsx.MAX_COLUMNS]))[0][1] == [["x"] * xlsx.MAX_COLUMNS]
+    for rows in ([["x"] * (xlsx.MAX_COLUMNS + 1)], [[]] * (xlsx.MAX_ROWS + 1)):
+        with pytest.raises(DocumentError):
+            xlsx.write_xlsx(rows)
+    assert fonts.font_paths([" a.ttf ", "", "  ", None, 5, "b"]) == ["a.ttf", "b"] and fonts.font_paths("a.ttf") == [] and fonts.font_paths(None) == []
+
+
 def test_pdf_damage_and_limits():
     whole = one_page(b"BT (found) Tj ET")
     assert pdf_read.read_pdf(whole[: whole.rfind(b"xref\n0")])[0] == "found"
