@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import struct
 
 from . import DocumentError
@@ -160,15 +161,20 @@ def fonts_of(data: bytes) -> list[TrueType]:
     return out
 
 
+@functools.cache
+def _fonts_at(path: str) -> list[TrueType]:
+    """The fonts of a file, read once in a process; none if there is no such file."""
+    try:
+        with open(path, "rb") as f:
+            return fonts_of(f.read(64 << 20))
+    except OSError:
+        return []
+
+
 def best_font(paths: list[str], characters: set[str]) -> TrueType | None:
     """The first file with a font that covers some of the characters, and its font that covers most."""
     for path in paths:
-        try:
-            with open(path, "rb") as f:
-                found = fonts_of(f.read(64 << 20))
-        except OSError:
-            continue
-        scored = [(sum(ord(c) in f.cmap for c in characters), -k, f) for k, f in enumerate(found)]
+        scored = [(sum(ord(c) in f.cmap for c in characters), -k, f) for k, f in enumerate(_fonts_at(path))]
         best = max(scored, key=lambda s: s[:2], default=None)
         if best and best[0]:
             return best[2]

@@ -19,15 +19,16 @@ def trim(c: Column, more: str = "") -> Column:
 
 
 def detect_format(path: Column) -> Column:
-    """pdf, docx, xlsx or csv by extension; else unknown."""
-    ext = F.lower(F.regexp_extract(path, "\\.([^./\\\\]*)$", 1))
+    """pdf, docx, xlsx or csv by extension; else unknown. A name that is but a dot and letters has no extension."""
+    ext = F.lower(F.regexp_extract(path, "[^/\\\\]\\.([^./\\\\]*)[/\\\\]*$", 1))
     return F.when(ext.isin("pdf", "docx", "xlsx", "csv"), ext).when(ext == "xls", "xlsx").when(ext == "txt", "csv").otherwise("unknown")
 
 
 def short_name(path: Column) -> Column:
-    """The last component, of at most 60 characters."""
-    name = F.element_at(F.split(path, "[/\\\\]"), -1)
-    return F.when(F.char_length(name) > 60, F.concat(F.left(name, F.lit(59)), F.lit("…"))).otherwise(name)
+    """The last component that isn't empty (all of a path without one), of at most 60 UTF-16 units."""
+    parts = F.filter(F.split(path, "[/\\\\]"), lambda x: x != "")
+    name = F.coalesce(F.try_element_at(parts, F.lit(-1)), path)
+    return F.when(utf16_length(name) > 60, F.concat(utf16_left(name, 59), F.lit("…"))).otherwise(name)
 
 
 def csv_escape(c: Column) -> Column:
@@ -129,13 +130,22 @@ def paragraphs(c: Column) -> Column:
 
 
 def truncate(c: Column, most: int = MAX_CHARS, notice: str = NOTICE) -> Column:
-    return F.when(F.char_length(c) > most, F.concat(F.left(c, F.lit(most)), F.lit(notice))).otherwise(c)
+    """A text of more than ``most`` UTF-16 units is cut there and the notice follows."""
+    return F.when(utf16_length(c) > most, F.concat(utf16_left(c, most), F.lit(notice))).otherwise(c)
 
 
 def utf16_length(c: Column) -> Column:
     return (F.octet_length(F.encode(c, "UTF-16BE")) / 2).cast("long")
 
 
+def utf16_left(c: Column, most: int) -> Column:
+    """The first ``most`` UTF-16 units; a character that would be cut in two is left out."""
+    units = F.encode(c, "UTF-16BE")
+    last = F.hex(F.substring(units, 2 * most - 1, 2))
+    keep = F.when((last >= "D800") & (last <= "DBFF"), 2 * most - 2).otherwise(2 * most)
+    return F.decode(F.substring(units, F.lit(1), keep), "UTF-16BE")
+
+
 def utf16_hex(c: Column) -> Column:
     return F.hex(F.encode(c, "UTF-16BE"))
 

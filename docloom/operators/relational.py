@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.session import checkpointed
+
 
 def window_lines(lines: DataFrame, keys: list[str], offset: int = 1, limit: int | None = None, line_no: str = "line_no") -> DataFrame:
     """Lines offset .. offset + limit - 1 of each document (from 1); line numbers are dense per document.
@@ -35,11 +37,17 @@ def lines_of(df: DataFrame, text: Column, keys: list[str]) -> DataFrame:
 
 
 def sheet_union(sheets: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of all sheets as numbered lines, a marker before each; sheets has keys, sheet_ix, sheet_name, row_ix (from 0), line."""
-    marker = sheets.select(*keys, "sheet_ix", F.lit(-1).cast("long").alias("row_ix"), F.concat(F.lit("[Sheet: "), "sheet_name", F.lit("]")).alias("line")).distinct()
-    rows = sheets.where("row_ix >= 0").select(*keys, "sheet_ix", F.col("row_ix").cast("long"), "line")
-    order = Window.partitionBy(*keys).orderBy("sheet_ix", "row_ix") if keys else Window.orderBy("sheet_ix", "row_ix")
-    return marker.unionByName(rows).select(*keys, F.row_number().over(order).cast("long").alias("line_no"), "line")
+    """Rows of all sheets as numbered lines, a marker before each; sheets has keys, sheet_ix, sheet_name, row_ix (0, 1, 2, ...), line.
+
+    A sheet without rows is one row with a null row_ix: its marker stands alone.
+    """
+    sizes = sheets.groupBy(*keys, "sheet_ix", "sheet_name").agg((F.coalesce(F.max("row_ix"), F.lit(-1)) + 2).cast("long").alias("__n"))
+    # Line numbers follow from the sizes of the sheets before: only sheets are sorted, no rows.
+    before = Window.partitionBy(*keys).orderBy("sheet_ix").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    marker = sizes.select(*keys, (F.col("__before") + 1).alias("line_no"), F.concat(F.lit("[Sheet: "), "sheet_name", F.lit("]")).alias("line"))
+    rows = sheets.where("row_ix >= 0").join(sizes.select(*keys, "sheet_ix", "__before"), [*keys, "sheet_ix"])
+    return marker.unionByName(rows.select(*keys, (F.col("__before") + F.col("row_ix") + 2).cast("long").alias("line_no"), "line"))
 
 
 def dense_grid(cells: DataFrame, keys: list[str], row: str, col: str, value: str) -> DataFrame:
@@ -82,17 +90,21 @@ def best_cover(candidates: DataFrame, keys: list[str], score: str, order: str) -
     return candidates.where(F.col(score) > 0).withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
-def islands(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Runs of neighbouring distinct integers: first, last, n. Without keys, runs are found in ranges of values and joined at their edges."""
-    base = df.select(*keys, F.col(value).cast("long").alias("v")).distinct()
-    span = 1 << 20
+def islands(df: DataFrame, keys: list[str], value: str, span: int = 1 << 20) -> DataFrame:
+    """Runs of neighbouring distinct integers: keys, first, last, n; nulls are no integers and in no run.
+
+    Runs are found in ranges of ``span`` values; only those that touch a range's edge, two a range at
+    most, are joined with their neighbours.
+    """
+    base = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("long").alias("v")).distinct()
     part = base.withColumn("__b", F.floor(F.col("v") / span))
     w = Window.partitionBy(*keys, "__b").orderBy("v")
-    runs = part.withColumn("__g", F.col("v") - F.row_number().over(w)).groupBy(*keys, "__b", "__g").agg(F.min("v").alias("a"), F.max("v").alias("z"))
-    # Runs that meet at a range's edge are joined: only one run a range can end there.
-    w2 = Window.partitionBy(*keys).orderBy("a")
-    runs = runs.withColumn("__new", F.when(F.lag("z").over(w2) == F.col("a") - 1, 0).otherwise(1)).withColumn("__id", F.sum("__new").over(w2))
-    return runs.groupBy(*keys, "__id").agg(F.min("a").alias("first"), F.max("z").alias("last")).select(*keys, "first", "last", (F.col("last") - F.col("first") + 1).alias("n"))
+    runs = part.withColumn("__g", F.col("v") - F.row_number().over(w)).groupBy(*keys, "__b", "__g").agg(F.min("v").alias("first"), F.max("v").alias("last"))
+    edge = (F.col("first") == F.col("__b") * span) | (F.col("last") == (F.col("__b") + 1) * span - 1)
+    w2 = Window.partitionBy(*keys).orderBy("first")
+    touching = runs.where(edge).withColumn("__new", F.when(F.lag("last").over(w2) == F.col("first") - 1, 0).otherwise(1)).withColumn("__id", F.sum("__new").over(w2))
+    joined = touching.groupBy(*keys, "__id").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return runs.where(~edge).select(*keys, "first", "last").unionByName(joined.select(*keys, "first", "last")).withColumn("n", F.col("last") - F.col("first") + 1)
 
 
 def chunks(df: DataFrame, keys: list[str], order: str, size: int = 100) -> DataFrame:
@@ -107,9 +119,21 @@ def keep_newest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
-def closure(spark, edges: str, roots: str) -> DataFrame:
-    """All nodes that roots (view with id) reach over edges (view with src, dst), roots included."""
-    return spark.sql(f"WITH RECURSIVE r(id) AS (SELECT id FROM {roots} UNION ALL SELECT e.dst FROM r JOIN {edges} e ON r.id = e.src) SELECT DISTINCT id FROM r")
+def closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """id: all nodes that roots (id) reach over edges (src, dst), roots included; nulls are no nodes.
+
+    Each round follows the edges of the nodes found last to nodes that aren't known yet, so cycles end,
+    every edge is followed once and no path is listed. Rounds are written to the checkpoint folder.
+    """
+    pairs = edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").distinct()
+    pairs = checkpointed(pairs)
+    found = checkpointed(roots.select(F.col("id").cast("long").alias("id")).where("id IS NOT NULL").distinct())
+    last = found
+    while not last.isEmpty():
+        following = pairs.join(last, pairs["src"] == last["id"], "left_semi").select(F.col("dst").alias("id")).distinct()
+        last = checkpointed(following.join(found, "id", "left_anti"))
+        found = checkpointed(found.union(last))
+    return found
 
 
 def csv_file(rows: DataFrame, keys: list[str], order: str, record: str) -> DataFrame:

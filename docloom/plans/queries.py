@@ -58,9 +58,14 @@ def q_read_window_summary(spark, d):
     return R.window_summary(R.lines_of(_t(spark, d, "documents"), F.col("text"), ["doc_id"]), ["doc_id"], 3, 5)
 
 
-@query("SELECT doc_id, CASE WHEN length(text) > 2000 THEN left(text, 2000) || chr(10) || '... [truncated]' ELSE text END AS content, length(text) > 2000 AS truncated FROM documents")
+@query("""WITH t AS (SELECT doc_id, replace(text, 'e', chr(128512)) AS s FROM documents), u AS (SELECT *, length(s) + length(regexp_replace(s, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')) > 2000 AS long FROM t),
+c AS (SELECT doc_id, unnest(string_split(left(s, 2000), '')) AS c, generate_subscripts(string_split(left(s, 2000), ''), 1) AS i FROM u WHERE long),
+k AS (SELECT doc_id, string_agg(c, '' ORDER BY i) AS kept FROM (SELECT *, sum(CASE WHEN unicode(c) > 65535 THEN 2 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS units FROM c) WHERE units <= 2000 GROUP BY 1)
+SELECT u.doc_id, CASE WHEN long THEN kept || chr(10) || '... [truncated]' ELSE s END AS content, long AS truncated FROM u LEFT JOIN k ON u.doc_id = k.doc_id""")
 def q_text_truncate(spark, d):
-    return _t(spark, d, "documents").select("doc_id", C.truncate(F.col("text"), 2000).alias("content"), (F.char_length("text") > 2000).alias("truncated"))
+    """Texts with characters of two UTF-16 units, cut after 2,000 units."""
+    text = F.replace("text", F.lit("e"), F.lit("\U0001f600"))
+    return _t(spark, d, "documents").select("doc_id", C.truncate(text, 2000).alias("content"), (C.utf16_length(text) > 2000).alias("truncated"))
 
 
 @query("SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS n_lines, (length(text) + length(regexp_replace(text, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')))::BIGINT AS utf16 FROM documents")
@@ -90,10 +95,10 @@ def q_csv_render(spark, d):
     return R.csv_file(rows, ["n_regionkey"], "n_nationkey", "record")
 
 
-@query("SELECT doc_id, source, text FROM documents WHERE text IS NOT NULL AND source IS NOT NULL")
+@query("SELECT doc_id, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents")
 def q_csv_roundtrip(spark, d):
-    """Cells written as a CSV record and parsed again."""
-    made = _t(spark, d, "documents").where("text IS NOT NULL AND source IS NOT NULL").select("doc_id", C.csv_record(F.array("source", "text", F.lit("x"))).alias("csv"))
+    """Cells written as a CSV record and parsed again; nulls come back empty."""
+    made = _t(spark, d, "documents").select("doc_id", C.csv_record(F.array("source", "text", F.lit("x"))).alias("csv"))
     rows = made.select("doc_id", A.csv_rows("csv").alias("rows"))
     return rows.select("doc_id", F.col("rows")[0][0].alias("source"), F.col("rows")[0][1].alias("text"))
 
@@ -156,7 +161,8 @@ def q_best_cover(spark, d):
 
 @query("SELECT min(k) AS first, max(k) AS last, count(*)::BIGINT AS n FROM (SELECT k, k - row_number() OVER (ORDER BY k) AS g FROM (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey IS NOT NULL)) GROUP BY g")
 def q_islands(spark, d):
-    return R.islands(_t(spark, d, "orders").where("o_custkey IS NOT NULL"), [], "o_custkey")
+    """Ranges of 64 values, so that many runs meet at the edges of ranges."""
+    return R.islands(_t(spark, d, "orders"), [], "o_custkey", 64)
 
 
 @query("SELECT p_brand, p_partkey, ((row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1) // 100)::BIGINT AS chunk FROM part")
@@ -169,11 +175,14 @@ def q_keep_newest(spark, d):
     return R.keep_newest(_t(spark, d, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"], "o_orderkey")
 
 
-@query("WITH RECURSIVE r(id) AS (SELECT r_regionkey::BIGINT FROM region WHERE r_regionkey < 2 UNION SELECT n_nationkey + 100 FROM nation JOIN r ON n_regionkey = r.id) SELECT id::BIGINT AS id FROM r")
+@query("""WITH RECURSIVE e(src, dst) AS (SELECT n_regionkey::BIGINT, n_nationkey + 100 FROM nation UNION ALL SELECT n_nationkey + 100, n_nationkey % 4 FROM nation UNION ALL SELECT n_nationkey + 100, n_nationkey + 200 FROM nation UNION ALL SELECT n_nationkey + 200, n_nationkey + 100 FROM nation),
+r(id) AS (SELECT r_regionkey::BIGINT FROM region WHERE r_regionkey = 2 UNION SELECT e.dst FROM e JOIN r ON e.src = r.id) SELECT id::BIGINT AS id FROM r""")
 def q_closure(spark, d):
-    _t(spark, d, "nation").select(F.col("n_regionkey").cast("long").alias("src"), (F.col("n_nationkey") + 100).cast("long").alias("dst")).createOrReplaceTempView("docloom_edges")
-    _t(spark, d, "region").where("r_regionkey < 2").select(F.col("r_regionkey").cast("long").alias("id")).createOrReplaceTempView("docloom_roots")
-    return R.closure(spark, "docloom_edges", "docloom_roots")
+    """What region 2 reaches in a graph full of cycles."""
+    n, key = _t(spark, d, "nation"), F.col("n_nationkey").cast("long")
+    parts = ((F.col("n_regionkey").cast("long"), key + 100), (key + 100, key % 4), (key + 100, key + 200), (key + 200, key + 100))
+    edges = [n.select(a.alias("src"), b.alias("dst")) for a, b in parts]
+    return R.closure(edges[0].union(edges[1]).union(edges[2]).union(edges[3]), _t(spark, d, "region").where("r_regionkey = 2").select(F.col("r_regionkey").alias("id")))
 
 
 @query(f"SELECT page_id, {REFERENCES.format(ESCAPED.format('html'))} AS escaped FROM pages")
@@ -186,20 +195,17 @@ def q_xml_attr_escape(spark, d):
     return _t(spark, d, "pages").select("page_id", C.xml_attr_escape(F.col("html")).alias("escaped"))
 
 
-@query("SELECT doc_id, text FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, text FROM documents")
 def q_xml_roundtrip(spark, d):
-    return _t(spark, d, "documents").where("text IS NOT NULL").select("doc_id", A.xml_decode(C.xml_escape(F.col("text"))).alias("text"))
+    return _t(spark, d, "documents").select("doc_id", A.xml_decode(C.xml_escape(F.col("text"))).alias("text"))
 
 
-@query("SELECT page_id, replace(replace(html, '&quot;', '\"'), '&amp;', '&') AS decoded FROM pages WHERE NOT regexp_matches(html, '&([^a-z#]|amp[^;]|[^;&]{0,11}&|[a-z]*$)')")
-def q_xml_decode(spark, d):
-    """Pages without stray ampersands."""
-    return _t(spark, d, "pages").where(~F.col("html").rlike("&([^a-z#]|amp[^;]|[^;&]{0,11}&|[a-z]*$)")).select("page_id", A.xml_decode("html").alias("decoded"))
+ENTITY = "WHEN '&amp;' THEN '&' WHEN '&lt;' THEN '<' WHEN '&gt;' THEN '>' WHEN '&quot;' THEN '\"' WHEN '&apos;' THEN chr(39)"
 
 
-@query()
-def q_xml_decode_all(spark, d):
-    """Every page, also those with stray or unfinished ampersands."""
+@query(f"SELECT page_id, array_to_string(list_transform(regexp_extract_all(html, '&[^;]{{0,11}};|[^&]+|&'), lambda t: CASE t {ENTITY} ELSE t END), '') AS decoded FROM pages")
+def q_xml_decode(spark, d):
+    """Every page, also those with stray or unfinished ampersands; the tables hold no numeric references."""
     return _t(spark, d, "pages").select("page_id", A.xml_decode("html").alias("decoded"))
 
 
@@ -239,9 +245,14 @@ def q_sheet_name(spark, d):
     return _t(spark, d, "documents").select("doc_id", C.sheet_name(F.col("text")).alias("name"))
 
 
-@query("SELECT page_id, n AS name, CASE WHEN page_id % 3 = 0 THEN 'csv' WHEN page_id % 3 = 1 THEN 'xlsx' ELSE 'unknown' END AS format FROM (SELECT page_id, CASE WHEN length(l) > 60 THEN left(l, 59) || '…' ELSE l END AS n FROM (SELECT page_id, list_last(regexp_split_to_array(url || CASE WHEN page_id % 3 = 0 THEN '.TXT' WHEN page_id % 3 = 1 THEN '.xls' ELSE '.bin' END, '[/\\\\]')) AS l FROM pages))")
+PATHS = "SELECT page_id, url || CASE WHEN page_id % 7 = 0 THEN '/.csv' WHEN page_id % 3 = 0 THEN '.TXT' WHEN page_id % 3 = 1 THEN '.xls' ELSE '.bin' END || CASE WHEN page_id % 5 = 0 THEN '//' ELSE '' END AS path FROM pages"
+
+
+@query(f"SELECT page_id, CASE WHEN length(l) > 60 THEN left(l, 59) || '…' ELSE l END AS name, CASE WHEN l[1] = '.' AND strpos(l[2:], '.') = 0 THEN 'unknown' WHEN page_id % 3 = 0 THEN 'csv' WHEN page_id % 3 = 1 THEN 'xlsx' ELSE 'unknown' END AS format FROM (SELECT page_id, list_last(list_filter(regexp_split_to_array(path, '[/\\\\]'), lambda x: x <> '')) AS l FROM ({PATHS}))")
 def q_detect_format(spark, d):
-    path = F.concat("url", F.when(F.col("page_id") % 3 == 0, ".TXT").when(F.col("page_id") % 3 == 1, ".xls").otherwise(".bin"))
+    """Names and formats of paths, some of which end in separators or name hidden files."""
+    end = F.when(F.col("page_id") % 7 == 0, "/.csv").when(F.col("page_id") % 3 == 0, ".TXT").when(F.col("page_id") % 3 == 1, ".xls").otherwise(".bin")
+    path = F.concat("url", end, F.when(F.col("page_id") % 5 == 0, "//").otherwise(""))
     return _t(spark, d, "pages").select("page_id", C.short_name(path).alias("name"), C.detect_format(path).alias("format"))
 
 
@@ -250,9 +261,9 @@ def q_helvetica_width(spark, d):
     return _t(spark, d, "part").select("p_partkey", C.helvetica_width(F.col("p_name")).alias("width"))
 
 
-@query("SELECT doc_id, upper(hex(encode(text))) AS utf8, regexp_full_match(text, '[\\x00-\\x7F]*') AS ascii FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, upper(hex(encode(text))) AS utf8, regexp_full_match(text, '[\\x00-\\x7F]*') AS ascii FROM documents")
 def q_ascii_guard(spark, d):
-    return _t(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.hex(F.encode("text", "UTF-8")).alias("utf8"), C.is_ascii(F.col("text")).alias("ascii"))
+    return _t(spark, d, "documents").select("doc_id", F.hex(F.encode("text", "UTF-8")).alias("utf8"), C.is_ascii(F.col("text")).alias("ascii"))
 
 
 @query("SELECT conv_id, string_agg(t, chr(10) || chr(10) ORDER BY turn) AS content FROM (SELECT conv_id, turn, trim(regexp_replace(text, '\\n{3,}', chr(10) || chr(10), 'g'), chr(10)) AS t FROM (SELECT conv_id, turn, array_to_string(list_transform(string_split(text, chr(10)), lambda x: rtrim(x, " + SPACES + ")), chr(10)) AS text FROM conversations)) WHERE t <> '' GROUP BY 1")
@@ -279,21 +290,20 @@ def q_xlsx_roundtrip(spark, d):
     return sheets.select("nation", F.posexplode(F.col("s")[0]["rows"]).alias("p", "cells")).select("nation", (F.col("p") + 1).cast("long").alias("row_ix"), C.tsv(F.col("cells")).alias("line"))
 
 
-@query("SELECT doc_id, regexp_replace(text, '[\\x09-\\x0D ]', '', 'g') AS solid FROM documents WHERE regexp_full_match(text, '[\\x09-\\x0D\\x20-\\x7E]*') AND regexp_matches(text, '[\\x21-\\x7E]')")
+@query(f"SELECT doc_id, CASE WHEN solid <> '' THEN solid END AS solid, CASE WHEN solid <> '' THEN false END AS truncated FROM (SELECT doc_id, regexp_replace(text, '{SPACE_CLASS}', '', 'g') AS solid FROM documents)")
 def q_pdf_roundtrip(spark, d):
-    """ASCII documents to PDF and back; wrapping adds line ends, so all but white space is compared."""
-    docs = _t(spark, d, "documents").where(F.col("text").rlike("^[\\x09-\\x0D\\x20-\\x7E]*$") & F.col("text").rlike("[\\x21-\\x7E]"))
-    made = docs.select("doc_id", A.pdf_text(A.pdf_build(F.lit(None).cast("string"), C.paragraphs(F.col("text")))).alias("p"))
-    return made.select("doc_id", F.regexp_replace("p.text", "[\\x09-\\x0D ]", "").alias("solid"))
-
-
-@query()
-def q_pdf_roundtrip_all(spark, d):
-    """Every document to PDF and back, all but white space; null where there is nothing to show or no font to show it."""
+    """Every document to PDF and back; wrapping adds line ends, so all but white space is compared. Null where there is nothing to show or no font to show it."""
     made = _t(spark, d, "documents").select("doc_id", A.pdf_text(A.pdf_build(F.lit(None).cast("string"), C.paragraphs(F.col("text")))).alias("p"))
     return made.select("doc_id", F.regexp_replace("p.text", SPACE_CLASS, "").alias("solid"), "p.truncated")
 
 
+@query(f"SELECT p_partkey, regexp_replace('Привет ' || p_name || ' αβγ', '{SPACE_CLASS}', '', 'g') AS solid FROM part")
+def q_pdf_embedded(spark, d):
+    """Texts that need an embedded font, to PDF and back through the font's own map."""
+    texts = _t(spark, d, "part").select("p_partkey", A.pdf_build(F.lit(None).cast("string"), F.array(F.concat(F.lit("Привет "), "p_name", F.lit(" αβγ")))).alias("pdf"))
+    return texts.select("p_partkey", F.regexp_replace(A.pdf_text("pdf")["text"], SPACE_CLASS, "").alias("solid"))
+
+
 @query("SELECT p_brand || '.csv' AS path, 'csv' AS format, string_agg(p_partkey::VARCHAR || chr(9) || p_name, chr(10) ORDER BY p_partkey) FILTER (rn <= 3) AS content, count(*)::BIGINT AS total_lines, count(*) > 3 AS truncated FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn FROM part) GROUP BY p_brand")
 def q_read_document(spark, d):
     """CSV files of parts by brand through the reader, with a window of three lines."""
@@ -302,6 +312,31 @@ def q_read_document(spark, d):
     return parse_documents(files, limit=3).select("path", "format", "content", "total_lines", "truncated")
 
 
-@query()
+@query("SELECT p_partkey, chr((32 + p_partkey % 55000)::INT) || p_name || chr(10) || '_x00_' AS s FROM part")
+def q_excel_unescape(spark, d):
+    """Escaped characters of workbooks; what isn't one stays."""
+    code = F.lpad(F.hex(32 + F.col("p_partkey") % 55000), 4, "0")
+    return _t(spark, d, "part").select("p_partkey", A.excel_unescape(F.concat(F.lit("_x"), code, F.lit("_"), "p_name", F.lit("_x000A__x00_"))).alias("s"))
+
+
+@query("SELECT conv_id, turn, text || chr(65279) AS s FROM conversations")
+def q_strip_bom(spark, d):
+    return _t(spark, d, "conversations").select("conv_id", "turn", C.strip_bom(F.concat(F.lit("\ufeff"), "text", F.lit("\ufeff"))).alias("s"))
+
+
+def _crc_table() -> list[int]:
+    out = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        out.append(n)
+    return out
+
+
+UTF16 = "array_to_string(list_transform(list_filter(string_split(text, ''), lambda c: c <> ''), lambda c: CASE WHEN unicode(c) < 65536 THEN lpad(upper(to_hex(unicode(c))), 4, '0') ELSE upper(to_hex(55296 + (unicode(c) - 65536) // 1024)) || upper(to_hex(56320 + (unicode(c) - 65536) % 1024)) END), '')"
+BYTES = "list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::BIGINT)"
+
+
+@query(f"SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, {BYTES}), lambda c, b: xor(c >> 8, list_extract({_crc_table()}::BIGINT[], xor(c, b) % 256 + 1))), 4294967295) AS crc, {UTF16} AS utf16 FROM documents")
 def q_crc32(spark, d):
     return _t(spark, d, "documents").select("doc_id", C.crc32(F.col("text")).alias("crc"), C.utf16_hex(F.col("text")).alias("utf16"))

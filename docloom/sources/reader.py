@@ -40,33 +40,55 @@ def read_one(data: bytes, form: str, offset: int = 1, limit: int | None = None,
             if cut:
                 out["warnings"] = ["the document goes on after the limits"]
         else:
-            raise DocumentError(f"unknown format; supported: pdf, docx, xlsx, csv")
-        if len(out["content"]) > max_chars:
-            out["content"], out["truncated"] = out["content"][:max_chars] + NOTICE, True
-    except DocumentError as e:
-        out["error"] = str(e)
+            raise DocumentError("unknown format; supported: pdf, docx, xlsx, csv")
+        if len(out["content"]) > max_chars // 2 and len(units := out["content"].encode("utf-16-be", "surrogatepass")) > 2 * max_chars:
+            out["content"], out["truncated"] = units[: 2 * max_chars].decode("utf-16-be", "ignore") + NOTICE, True
+    except Exception as e:
+        out = dict.fromkeys(out) | {"truncated": False, "warnings": [], "error": error_text(e)}
     return out
 
 
+def error_text(e: Exception) -> str:
+    """Whatever a parser meets is an error of the document."""
+    return str(e) if isinstance(e, DocumentError) else f"malformed document: {type(e).__name__}: {e}"
+
+
+def lines_of_document(data: bytes, form: str) -> tuple[list[str], str | None]:
+    """All lines of one document, or its error."""
+    if form in ("csv", "xlsx"):
+        try:
+            return document_lines(data, form), None
+        except Exception as e:
+            return [], error_text(e)
+    got = read_one(data, form, max_chars=1 << 31)
+    return ([], got["error"]) if got["error"] else (got["content"].split("\n"), None)
+
+
 def parse_documents(files: DataFrame, form: str = "auto", offset: int = 1, limit: int | None = None, max_bytes: int = MAX_BYTES, mode: str = "PERMISSIVE") -> DataFrame:
     """files (path, length, content) to result rows; FAILFAST raises on the first error."""
     kind = detect_format(F.col("path")) if form == "auto" else F.lit(form)
-    # Too long files keep their row but their bytes never reach Python.
-    ready = files.select("path", kind.alias("format"), F.col("length"), F.when(F.col("length") <= max_bytes, F.col("content")).alias("content"))
+    # Two branches: the filter on length reaches the scan, so bytes of too long files are never read.
+    ready = files.where(F.col("length") <= max_bytes).select("path", kind.alias("format"), "content")
+    over = files.where(F.col("length") > max_bytes).select("path", kind.alias("format"), "length")
 
     def run(batches):
         import pandas as pd
 
         for batch in batches:
             rows = []
-            for path, kind, length, data in zip(batch["path"], batch["format"], batch["length"], batch["content"]):
-                got = read_one(bytes(data), kind, offset, limit) if data is not None else {"error": f"the file has more than {max_bytes} bytes", "truncated": False, "warnings": []}
+            for path, kind, data in zip(batch["path"], batch["format"], batch["content"]):
+                got = read_one(bytes(data), kind, offset, limit)
                 if got["error"] and mode == "FAILFAST":
                     raise DocumentError(f"{path}: {got['error']}")
                 rows.append({"path": path, "format": kind} | got)
             yield pd.DataFrame(rows, columns=["path", "format", "content", "total_lines", "pages", "truncated", "warnings", "error"], dtype=object)
 
-    return ready.mapInPandas(run, SCHEMA)
+    error = F.concat(F.lit("the file has "), F.col("length").cast("string"), F.lit(f" bytes, more than {max_bytes}"))
+    if mode == "FAILFAST":
+        error = F.raise_error(F.concat("path", F.lit(": "), error))
+    empty = {"content": "string", "total_lines": "bigint", "pages": "int"}
+    over = over.select("path", "format", *[F.lit(None).cast(t).alias(c) for c, t in empty.items()], F.lit(False).alias("truncated"), F.array().cast("array<string>").alias("warnings"), error.cast("string").alias("error"))
+    return ready.mapInPandas(run, SCHEMA).unionByName(over)
 
 
 def read_document(spark: SparkSession, path: str, form: str = "auto", offset: int = 1, limit: int | None = None, max_bytes: int = MAX_BYTES, mode: str = "PERMISSIVE") -> DataFrame:
@@ -76,8 +98,8 @@ def read_document(spark: SparkSession, path: str, form: str = "auto", offset: in
     return parse_documents(spark.read.format("binaryFile").load(path), form, offset, limit, max_bytes, mode)
 
 
-def read_lines(spark: SparkSession, path: str, form: str = "auto") -> DataFrame:
-    """Lines of table documents: path, line_no, line; documents with errors have none."""
+def read_lines(spark: SparkSession, path: str, form: str = "auto", max_bytes: int = MAX_BYTES, mode: str = "PERMISSIVE") -> DataFrame:
+    """Lines of documents: path, line_no, line, error. A document that can't be read is one row with its error; FAILFAST raises it."""
     files = spark.read.format("binaryFile").load(path)
     kind = detect_format(F.col("path")) if form == "auto" else F.lit(form)
 
@@ -86,10 +108,18 @@ def read_lines(spark: SparkSession, path: str, form: str = "auto") -> DataFrame:
 
         for batch in batches:
             for path, kind, data in zip(batch["path"], batch["format"], batch["content"]):
-                try:
-                    lines = document_lines(bytes(data), kind) if kind in ("csv", "xlsx") else (read_one(bytes(data), kind, max_chars=1 << 31)["content"] or "").split("\n")
-                except DocumentError:
-                    continue
-                yield pd.DataFrame({"path": path, "line_no": range(1, len(lines) + 1), "line": lines})
-
-    return files.select("path", kind.alias("format"), "content").where("format <> 'unknown'").mapInPandas(run, "path string, line_no bigint, line string")
+                lines, error = lines_of_document(bytes(data), kind)
+                if error and mode == "FAILFAST":
+                    raise DocumentError(f"{path}: {error}")
+                if error:
+                    yield pd.DataFrame([(path, None, None, error)], columns=["path", "line_no", "line", "error"], dtype=object)
+                else:
+                    yield pd.DataFrame({"path": path, "line_no": range(1, len(lines) + 1), "line": lines, "error": None})
+
+    schema = "path string, line_no bigint, line string, error string"
+    read = files.where(F.col("length") <= max_bytes).select("path", kind.alias("format"), "content").mapInPandas(run, schema)
+    error = F.concat(F.lit("the file has "), F.col("length").cast("string"), F.lit(f" bytes, more than {max_bytes}"))
+    if mode == "FAILFAST":
+        error = F.raise_error(F.concat("path", F.lit(": "), error))
+    over = files.where(F.col("length") > max_bytes).select("path", F.lit(None).cast("bigint").alias("line_no"), F.lit(None).cast("string").alias("line"), error.cast("string").alias("error"))
+    return read.unionByName(over)

@@ -24,6 +24,32 @@ def test_read(spark, folder):
         read_document(spark, folder, mode="FAILFAST").collect()
     assert all(r["error"] for r in read_document(spark, folder, max_bytes=0).collect())
     assert read_lines(spark, folder + "/*.csv").count() == 51
+    lines = read_lines(spark, folder)
+    assert {r["path"][-5:] for r in lines.where("error IS NOT NULL AND line IS NULL").collect()} == {"e.bin", "f.xls"} and lines.where("line_no = 1").count() == 4
+    assert read_lines(spark, folder, max_bytes=0).where("error IS NULL").count() == 0
+    with pytest.raises(Exception, match="f.xls|e.bin"):
+        read_lines(spark, folder, mode="FAILFAST").collect()
+
+
+def test_broken_documents_are_values(spark, tmp_path):
+    from docloom.functions import codecs as A
+
+    (tmp_path / "p.pdf").write_bytes(b"%PDF-1.4\n1 0 obj << /Type /Catalog /Pages 5 >> endobj trailer << /Root 1 0 R >>")
+    (tmp_path / "x.xlsx").write_bytes(build("xlsx", rows=[["a"]])[:-9])
+    (tmp_path / "d.docx").write_bytes(b"PK")
+    assert all(r["error"] and r["content"] is None for r in read_document(spark, str(tmp_path)).collect())
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    assert all(tuple(r) == (None, None) for r in files.select(A.docx_text("content"), A.xlsx_sheets("content")).collect())
+
+
+def test_only_short_files_are_opened(spark, folder):
+    plan = read_document(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LessThanOrEqual(length") >= 1 and "GreaterThan(length" in plan
+
+
+def test_receipts_of_pdfs(spark, tmp_path):
+    row = write_document(spark, f"file://{tmp_path}/z.pdf", "pdf", paragraphs=["x"] * 200, fonts=["", None, " /no/such.ttf "]).first()
+    assert row["pages"] > 1 and row["font"] == "Helvetica" and row["missing"] == 0 and row["error"] is None
 
 
 def test_long_record_is_cut(spark, tmp_path):
@@ -41,6 +67,11 @@ def test_source_and_sink(spark, folder, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("out")) + "/written"
     spark.range(10).selectExpr("id", "concat('n', id) AS n").coalesce(1).write.format("docloom").option("format", "xlsx").mode("overwrite").save(out)
     assert read_lines(spark, out + "/*.xlsx").count() == 11
+    more = spark.range(3).selectExpr("id", "'again' AS n").coalesce(1).write.format("docloom").option("format", "xlsx")
+    more.mode("append").save(out)
+    assert read_lines(spark, out + "/*.xlsx").count() == 11 + 4
+    more.mode("overwrite").save("file://" + out)
+    assert spark.read.format("docloom").load(f"file://{out}/part-*").count() == 4
 
 
 def test_write_receipts(spark, tmp_path):
