@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, langid, licenses, mixing, mixing_sql, neardup, pieces_codec, repeats, simhash, telephony, token_counts
+from . import htmltext, langid, licenses, mixing, mixing_sql, neardup, oracles, pieces_codec, repeats, simhash, telephony, token_counts
 from .store import materialize
 
 #: A folder to take tokenizer files from instead of the installed package's.
@@ -57,6 +57,11 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def license_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the license scan that SQL can express: places of the phrases."""
+    return licenses.scan(_table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without bytes that an earlier document has, and how much went."""
     out = repeats.remove_repeats(_table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -81,5 +86,5 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(_table(spark, sf_dir, "pages"), htmltext.train_default(), keep=["page_id", "url"])
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_pieces, op4_telephony, op5_neardup, op6_licenses, op7_repeats, op8_language, op9_mixing, op10_html)}
-ORACLES = {"op9_mixing": mixing_sql.OP9}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_pieces, op4_telephony, op5_neardup, op6_licenses, op7_repeats, op8_language, op9_mixing, op10_html, license_phrases)}
+ORACLES = {"op5_neardup": oracles.OP5, "license_phrases": oracles.LICENSE_PHRASES, "op7_repeats": oracles.OP7, "op9_mixing": mixing_sql.OP9}

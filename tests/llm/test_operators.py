@@ -530,6 +530,62 @@ def test_pipeline(spark, docs, tmp_path):
     assert cp.run(spark, str(tmp_path)).count() == kept.count()
 
 
+def test_pipeline_by_force(spark, tmp_path):
+    """Rows of run() against each stage in plain Python (the mix by its SQL)."""
+    import sentencepiece
+
+    import corpus_pipeline as cp
+
+    rng = np.random.default_rng(12)
+    known = {"en": [f"the{k}ing" for k in "abcdefghijklmnopqrstuvwxyz"], "ru": [f"слово{k}" for k in "абвгдежзийклмнопрст"]}
+    texts = [(lang, " ".join(rng.choice(known[lang], 40))) for lang in ("en", "ru") for _ in range(30)]
+    shared = texts[3][1][:90]
+    texts += [("en", texts[k][1] + " " + texts[k][1][:9]) for k in range(8)]  # near copies
+    texts += [("en", texts[5][1])] * 4 + [("en", f"{' '.join(rng.choice(known['en'], 30))} {shared} end{k}") for k in range(6)]
+    bad = [None, "", "12 !?", "王の家と彼の男たち", " ".join(f"qx{k}zj" for k in range(60))]
+    texts += [(None, t) for t in bad]
+    rows = [(k, t, lang, f"s{k % 4}" if k % 9 else None, len(t or "")) for k, (lang, t) in enumerate(texts)]
+    order = rng.permutation(len(rows))
+    docs = spark.createDataFrame([rows[k] for k in order], "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(5)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    # language
+    kept = [r for r in rows if r[1] not in bad]
+    # near copies, of sets of five words
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)} for w in (r[1].lower().split() for r in kept)]
+    label = list(range(len(kept)))
+    for _ in kept:
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+    kept = [r for k, r in enumerate(kept) if label[k] == k]
+    assert len(kept) < len(rows) - len(bad) - 8
+    # repeated passages
+    left = {d: (n, gone, k.decode("utf-8", "ignore")) for d, n, gone, _, k in repeats_by_force([r[:2] for r in kept])}
+    kept = [(r[0], left[r[0]][2], *r[2:4], len(left[r[0]][2])) for r in kept if left[r[0]][2] or not left[r[0]][1]]
+    assert sum(x[1] > 0 for x in left.values()) >= 5
+    # mix
+    con = duckdb.connect()
+    con.register("documents", spark.createDataFrame(kept, docs.schema).toPandas().astype({"doc_id": "Int64"}))
+    taken = {d: n // size if size else 0 for d, n, size in con.sql(f"SELECT doc_id, taken, size FROM ({queries.ORACLES['op9_mixing']})").fetchall()}
+    # pieces
+    sp = sentencepiece.SentencePieceProcessor(model_file=queries.tokenizer("piece_bpe_32k.model"))
+    want = [(d, lang, source, n, len(ids := sp.encode(t)), ids, hashlib.sha256(sp.decode(ids).encode()).hexdigest()) for d, t, lang, source, n in kept for _ in range(taken[d])]
+    got = cp.run(spark, str(tmp_path))
+    assert rows_of(got, "doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "decoded_sha256") == sorted(want, key=repr)
+    # Each stage with an empty table and with columns that operators name their outputs like.
+    for _, stage in cp.STAGES:
+        assert stage(spark, docs.limit(0), "").count() == 0
+    clash = docs.withColumns({c: F.lit(f"own {c}") for c in ("kept", "kept_text", "n_removed", "component_id", "copies", "size", "score", "c0", "items")})
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, clash, "")
+        assert out.columns == clash.columns, name
+        assert {tuple(r) for r in out.select(*clash.columns[5:]).distinct().collect()} == {tuple(f"own {c}" for c in clash.columns[5:])}, name
+
+
+rows_of = rows
+
+
 def test_pipeline_language(spark):
     import corpus_pipeline as cp
 
