@@ -448,6 +448,10 @@ def cp1252(code: int) -> str:
     return bytes([code]).decode("cp1252", "ignore") or chr(code)
 
 
+#: What WinAnsi has at other places than Latin-1.
+CP1252 = {c: cp1252(c) for c in range(128, 160)}
+
+
 def to_unicode(data: bytes) -> tuple[dict[int, str], int]:
     """Codes to text of a ToUnicode map (bfchar, bfrange), and the bytes of a code."""
     out: dict[int, str] = {}
@@ -503,7 +507,7 @@ class Font:
                     code += 1
                 else:
                     code = whole(item, code)
-        self.single = {c: t for c in range(256) if (t := self.map.get(c) or cp1252(c)) != chr(c)}
+        self.single = CP1252 | {c: t for c, t in self.map.items() if c < 256 and t}
 
     def text(self, raw: bytes) -> str:
         if self.wide == 1:
