@@ -33,7 +33,7 @@ _tables: dict[str, "PieceTable"] = {}
 
 
 class PieceTable:
-    """Distinct marked chunk -> (ids, their decimal form, decoded text)."""
+    """Distinct marked chunk -> its ids in decimal form, and its decoded text where that isn't the chunk with spaces for markers."""
 
     def __init__(self, model: str, table_rows: int = TABLE_ROWS):
         import sentencepiece
@@ -53,8 +53,10 @@ class PieceTable:
         ids = [x or [self.mark_id] for x in ids]
         for chunk, x, text in zip(chunks, ids, self.sp.decode(ids, num_threads=1)):
             self.digits[chunk] = ",".join(map(str, x))
-            self.decoded[chunk] = " " + text
-            self.chars += len(chunk) + len(self.digits[chunk]) + len(text)
+            self.chars += len(chunk) + len(self.digits[chunk])
+            if " " + text != chunk.replace(MARK, " "):
+                self.decoded[chunk] = " " + text
+                self.chars += len(text)
 
     def rows(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """For each whole text: number of ids, ids as decimals joined by commas, decoded text."""
@@ -70,7 +72,11 @@ class PieceTable:
         out = []
         for chunks in found:
             joined = ",".join(map(digits.__getitem__, chunks))
-            out.append((joined.count(",") + 1 if joined else 0, joined, "".join(map(decoded.__getitem__, chunks))[1:]))
+            if decoded and not decoded.keys().isdisjoint(chunks):
+                text = "".join(decoded.get(c) or c.replace(MARK, " ") for c in chunks)
+            else:
+                text = "".join(chunks).replace(MARK, " ")
+            out.append((joined.count(",") + 1 if joined else 0, joined, text[1:]))
         return out
 
     def row(self, text: str) -> tuple[int, str, str]:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import BASE, U, flat, give_back, mix, pieces, span_hash
-from .store import bytes_of_text, materialize, release
+from .store import bounded_batches, bytes_of_text, materialize, release
 from .suffixes import Suffixes, same_bytes
 
 WIDTH, CORE = 50, 24
@@ -350,6 +350,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept binary, kept_text (kept without characters that a cut has broken); these replace input columns of their names.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     made = ("n_bytes", "n_removed", "n_spans", "kept", "kept_text")
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), bytes_of_text(docs, f"`{text_col}`") // BLOCK_BYTES + 1)

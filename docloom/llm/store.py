@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 #: Rows up to which a per-source (or other small) table is broadcast; beyond it Spark joins by shuffle.
 BROADCAST_ROWS = 20_000
 
-
 #: Bytes of an Arrow batch; a longer row stands alone, whole.
-BATCH_BYTES, BATCH_CONF = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES, BATCH_CONF = 2 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Rows that the vectorised Parquet reader holds at once.
+READ_ROWS, READ_CONF = 512, "spark.sql.parquet.columnarReaderBatchSize"
 #: Rows of one key that a salted join deals to one copy of the key's rows at least; a key with less than
 #: 1 / HOT_KEYS of all rows isn't split, so fewer than HOT_KEYS keys are.
 SALT_ROWS, HOT_KEYS = 1_000, 10_000
@@ -35,12 +36,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Hold Arrow batches to BATCH_BYTES, whatever rows weigh: what a Python worker and the JVM's side of it hold at once.
+    """Hold Arrow batches to BATCH_BYTES, whatever rows weigh, and the Parquet reader's batches of long texts to READ_ROWS rows.
 
-    The session's setting is lowered, never raised; it bounds batches of mapInArrow, not groups of applyInArrow.
+    That is what a Python worker and the JVM's side of it hold at once. The session's settings are lowered,
+    never raised; the first bounds batches of mapInArrow, not groups of applyInArrow.
     """
-    if int(spark.conf.get(BATCH_CONF).rstrip("b")) > BATCH_BYTES:
-        spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
+    for conf, most, unit in ((BATCH_CONF, BATCH_BYTES, "b"), (READ_CONF, READ_ROWS, "")):
+        if int(spark.conf.get(conf).rstrip("b")) > most:
+            spark.conf.set(conf, f"{most}{unit}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
