@@ -4,7 +4,7 @@ All suffixes that can share WIDTH bytes share a minimizer: the CORE-byte string
 those inside their first WIDTH bytes. Documents are dealt into blocks, once for each of three passes:
 
 1. Blocks list their minimizers by hash bucket; buckets answer which occur in more than one document.
-2. Blocks send only the stretches of text whose minimizer is repeated, equal stretches of a block once.
+2. Blocks send only the stretches of text whose minimizer is repeated, equal stretches of a block once, compressed.
    A bucket puts its stretches, and then the suffixes at every byte of the distinct ones, in order with the
    hash-compared mergesort of ``suffixes``; neighbours with a common extension of WIDTH bytes are one string,
    of which the least id is known then. Neighbours are verified byte by byte.
@@ -161,6 +161,29 @@ def answer_repeated(table: pa.Table, frequent: int) -> pa.Table:
     return pa.table([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [()] * 3, (pa.int32(), pa.binary(), pa.binary()))], names=["block", "keys", "often"])
 
 
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
+def _pack(raw: bytes) -> bytes:
+    """raw, compressed where that makes it shorter."""
+    small = _ZSTD.compress(raw, asbytes=True) if len(raw) > 64 else raw
+    return small if len(small) < len(raw) else raw
+
+
+def _unpack(value: bytes, size: int) -> bytes:
+    """The ``size`` bytes that ``_pack`` was given."""
+    return value if len(value) == size else _ZSTD.decompress(value, decompressed_size=size, asbytes=True)
+
+
+def _pack_steps(rising: np.ndarray) -> bytes:
+    """Numbers by their differences, which are small where the numbers rise slowly."""
+    return _pack(np.diff(rising, prepend=rising.dtype.type(0)).tobytes())
+
+
+def _unpack_steps(value: bytes, n: int, kind) -> np.ndarray:
+    return np.cumsum(np.frombuffer(_unpack(value, n * np.dtype(kind).itemsize), kind), dtype=kind)
+
+
 SENT = "bucket int, block int, keys binary, ids binary, pos binary, strings binary, text binary"
 
 
@@ -233,7 +256,7 @@ def send_stretches(table: pa.Table, replies: pa.Table, buckets: int) -> pa.Table
     rest, bucket = rest[order], bucket[order]
     for a, b in _split(bucket):
         r = rest[a:b]
-        rows.append((int(bucket[a]), block, key[r].tobytes(), owner[r].tobytes(), start[r].astype(np.uint32).tobytes(), count[r].astype(np.uint8).tobytes(), _stretch_text(buf, start[r], count[r] + WIDTH - 1)))
+        rows.append((int(bucket[a]), block, key[r].tobytes(), _pack_steps(owner[r]), _pack_steps(start[r].astype(np.uint32)), count[r].astype(np.uint8).tobytes(), _pack(_stretch_text(buf, start[r], count[r] + WIDTH - 1))))
     return pa.table([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [()] * 7, types)], names=names)
 
 
@@ -245,9 +268,12 @@ def least_ids(table: pa.Table) -> pa.Table:
     blocks = table.column("block").to_pylist()
     keys = column("keys", np.uint64)
     place = np.repeat(np.arange(len(blocks)), [len(k) for k in keys])
-    key, owner, pos, count = np.concatenate(keys), np.concatenate(column("ids", np.int64)), np.concatenate(column("pos", np.uint32)), np.concatenate(column("strings", np.uint8)).astype(np.int64)
-    text = np.frombuffer(b"".join(x.as_py() for x in table.column("text")), np.uint8)
-    del table
+    steps = lambda c, t: np.concatenate([_unpack_steps(x.as_py(), len(k), t) for x, k in zip(table.column(c), keys)])
+    strings = column("strings", np.uint8)
+    key, owner, pos, count = np.concatenate(keys), steps("ids", np.int64), steps("pos", np.uint32), np.concatenate(strings).astype(np.int64)
+    size = [int(s.sum(dtype=np.int64)) + len(s) * (WIDTH - 1) for s in strings]
+    text = np.frombuffer(b"".join(_unpack(x.as_py(), n) for x, n in zip(table.column("text"), size)), np.uint8)
+    del table, strings, steps
     length = count + WIDTH - 1
     # Keys that one document holds alone can't cover anything.
     order = np.argsort(key, kind="stable")
