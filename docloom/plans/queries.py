@@ -340,3 +340,77 @@ BYTES = "list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: (
 @query(f"SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, {BYTES}), lambda c, b: xor(c >> 8, list_extract({_crc_table()}::BIGINT[], xor(c, b) % 256 + 1))), 4294967295) AS crc, {UTF16} AS utf16 FROM documents")
 def q_crc32(spark, d):
     return _t(spark, d, "documents").select("doc_id", C.crc32(F.col("text")).alias("crc"), C.utf16_hex(F.col("text")).alias("utf16"))
+
+
+@query("SELECT p_partkey, '中国' || p_name AS gbk, p_name || chr(233) AS utf8 FROM part")
+def q_decode_text(spark, d):
+    """GBK bytes, which aren't valid UTF-8, and UTF-8 bytes after a byte-order mark."""
+    name = F.encode("p_name", "UTF-8")
+    gbk, utf8 = F.concat(F.unhex(F.lit("D6D0B9FA")), name), F.concat(F.unhex(F.lit("EFBBBF")), name, F.unhex(F.lit("C3A9")))
+    return _t(spark, d, "part").select("p_partkey", A.decode_text(gbk).alias("gbk"), A.decode_text(utf8).alias("utf8"))
+
+
+@query("SELECT doc_id, unnest([1, 2])::BIGINT AS pos, unnest(['a.txt', 'b/' || doc_id]) AS name, unnest([text, 'x']) AS content FROM documents WHERE doc_id % 7 <> 0 AND text IS NOT NULL UNION ALL SELECT doc_id, NULL, NULL, NULL FROM documents WHERE doc_id % 7 = 0 AND text IS NOT NULL")
+def q_zip_roundtrip(spark, d):
+    """Archives of two entries, written and read; none where both have one name."""
+    second = F.when(F.col("doc_id") % 7 == 0, "a.txt").otherwise(F.concat(F.lit("b/"), F.col("doc_id").cast("string")))
+    packed = A.zip_build(F.array(F.lit("a.txt"), second), F.array(F.encode("text", "UTF-8"), F.encode(F.lit("x"), "UTF-8")))
+    entries = _t(spark, d, "documents").where("text IS NOT NULL").select("doc_id", A.zip_entries(packed).alias("e"))
+    return entries.select("doc_id", F.posexplode_outer("e").alias("pos", "e")).select("doc_id", (F.col("pos") + 1).cast("long").alias("pos"), "e.name", F.decode("e.content", "UTF-8").alias("content"))
+
+
+@query("SELECT p_partkey, 'A & B' AS sheet, 1::BIGINT AS row_ix, p_name || chr(9) || chr(9) || p_brand || ' A' || p_type AS line FROM part UNION ALL SELECT p_partkey, 'two', unnest([1, 2, 3]), unnest([chr(9) || chr(9), chr(9) || chr(9), chr(9) || 'TRUE' || chr(9) || 'x' || chr(10) || 'y']) FROM part")
+def q_shared_strings(spark, d):
+    """Workbooks of two sheets with shared strings, one of them in runs, cells by reference and without, and a string that isn't there."""
+    part = lambda *pieces: F.encode(F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces]), "UTF-8")
+    text = lambda c: C.xml_escape(F.col(c))
+    parts = {
+        "xl/workbook.xml": part('<workbook><sheets><sheet name="A &amp; B" sheetId="1" r:id="r1"/><sheet name="two" sheetId="2" r:id="r2"/></sheets></workbook>'),
+        "xl/_rels/workbook.xml.rels": part('<Relationships><Relationship Id="r2" Target="/xl/worksheets/second.xml"/><Relationship Id="r1" Target="worksheets/first.xml"/></Relationships>'),
+        "xl/sharedStrings.xml": part("<sst><si><t>", text("p_name"), "</t></si><si><r><t>", text("p_brand"), '</t></r><r><t xml:space="preserve"> _x0041_', text("p_type"), "</t></r></si></sst>"),
+        "xl/worksheets/first.xml": part('<worksheet><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1" t="s"><v>1</v></c></row></sheetData></worksheet>'),
+        "xl/worksheets/second.xml": part('<worksheet><sheetData><row r="3"><c t="s"><v>9</v></c><c t="b"><v>1</v></c><c t="str"><v>x_x000A_y</v></c></row></sheetData></worksheet>'),
+    }
+    books = _t(spark, d, "part").select("p_partkey", A.zip_build(F.array(*map(F.lit, parts)), F.array(*parts.values())).alias("book"))
+    sheets = books.select("p_partkey", F.explode(A.xlsx_sheets("book")).alias("s"))
+    return sheets.select("p_partkey", F.col("s.name").alias("sheet"), F.posexplode("s.rows").alias("p", "cells")).select("p_partkey", "sheet", (F.col("p") + 1).cast("long").alias("row_ix"), C.tsv(F.col("cells")).alias("line"))
+
+
+@query("SELECT p_partkey, chr((32 + p_partkey % 55000)::INT) AS four, chr((65536 + p_partkey % 900000)::INT) AS more, 'αΩ£×µðþ¼éﬁ' AS named, NULL::VARCHAR AS unknown FROM part")
+def q_glyph_names(spark, d):
+    """Names by code point, of four digits and more, and by table."""
+    four, more = F.lpad(F.hex(32 + F.col("p_partkey") % 55000), 4, "0"), F.hex(65536 + F.col("p_partkey") % 900000)
+    named = [A.glyph_text(F.lit(n)) for n in ("alpha", "Omega", "sterling", "multiply", "mu", "eth", "thorn", "onequarter", "eacute", "fi")]
+    return _t(spark, d, "part").select("p_partkey", A.glyph_text(F.concat(F.lit("uni"), four)).alias("four"), A.glyph_text(F.concat(F.lit("u"), more)).alias("more"), F.concat(*named).alias("named"), A.glyph_text(F.concat(F.lit("no such "), "p_name")).alias("unknown"))
+
+
+# The code points of bytes 128 to 159; those that the encoding leaves out are themselves.
+WINANSI = (8364, 129, 8218, 402, 8222, 8230, 8224, 8225, 710, 8240, 352, 8249, 338, 141, 381, 143, 144, 8216, 8217, 8220, 8221, 8226, 8211, 8212, 732, 8482, 353, 8250, 339, 157, 382, 376)
+
+
+@query(f"SELECT l_orderkey, l_linenumber, chr((CASE WHEN b BETWEEN 128 AND 159 THEN list_extract({list(WINANSI)}, b - 127) ELSE b END)::INT) || '!' AS shown FROM (SELECT *, (1 + l_partkey % 255)::INT AS b FROM lineitem)")
+def q_winansi(spark, d):
+    byte = F.unhex(F.lpad(F.hex(1 + F.col("l_partkey") % 255), 2, "0"))
+    return _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", A.winansi_text(F.concat(byte, F.unhex(F.lit("21")))).alias("shown"))
+
+
+@query("SELECT p_partkey, unnest([1, 2, 3, 5, 6, (1000 + p_partkey % 60000)::INT]) AS code, unnest(['A', 'B', 'C', 'X', chr(128512), p_name]) AS shown FROM part")
+def q_to_unicode(spark, d):
+    """Maps of single codes, of a range by its first text and of a range by a list."""
+    code = F.lpad(F.hex(1000 + F.col("p_partkey") % 60000), 4, "0")
+    head = "1 begincodespacerange <0000> <FFFF> endcodespacerange 1 beginbfchar <"
+    tail = "> endbfchar 2 beginbfrange <0001> <0003> <0041> <0005> <0006> [<0058> <D83DDE00>] endbfrange"
+    made = F.encode(F.concat(F.lit(head), code, F.lit("> <"), C.utf16_hex(F.col("p_name")), F.lit(tail)), "UTF-8")
+    return _t(spark, d, "part").select("p_partkey", F.explode(A.to_unicode(made)).alias("code", "shown"))
+
+
+KINDS = ("bin", "docx", "txt", "csv", "pdf")
+
+
+@query("SELECT s_suppkey::VARCHAR || '.' || k AS path, CASE k WHEN 'bin' THEN 'unknown' WHEN 'txt' THEN 'csv' ELSE k END AS format, CASE k WHEN 'txt' THEN s_name || chr(9) || 'a,b' END AS content, CASE k WHEN 'txt' THEN 1::BIGINT END AS total_lines, k <> 'txt' AS failed, k = 'csv' AS over FROM (SELECT *, list_extract(['bin', 'docx', 'txt', 'csv', 'pdf'], (1 + s_suppkey % 5)::INT) AS k FROM supplier)")
+def q_read_errors(spark, d):
+    """Unknown, broken and too long files are rows with an error; text files are read as CSV."""
+    kind = F.get(F.array(*map(F.lit, KINDS)), (F.col("s_suppkey") % 5).cast("int"))
+    files = _t(spark, d, "supplier").select(F.concat(F.col("s_suppkey").cast("string"), F.lit("."), kind).alias("path"), F.when(kind == "csv", 2000).otherwise(20).cast("long").alias("length"), F.encode(F.concat("s_name", F.lit(',"a,b"')), "UTF-8").alias("content"))
+    got = parse_documents(files, max_bytes=1000)
+    return got.select("path", "format", "content", "total_lines", F.col("error").isNotNull().alias("failed"), F.coalesce(F.col("error").contains("more than 1000"), F.lit(False)).alias("over"))
