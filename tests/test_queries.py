@@ -106,3 +106,12 @@ def test_islands_and_sheets(spark):
     assert got == {(-9, -8, 2), (-1, 4, 6), (7, 9, 3), (15, 17, 3), (31, 31, 1), (33, 33, 1), (40, 40, 1)}
     sheets = spark.createDataFrame([(0, "a", 0, "x"), (0, "a", 1, "y"), (1, "empty", None, None), (2, "b", 0, "z")], "sheet_ix int, sheet_name string, row_ix bigint, line string")
     assert sorted(map(tuple, R.sheet_union(sheets, []).collect())) == [(1, "[Sheet: a]"), (2, "x"), (3, "y"), (4, "[Sheet: empty]"), (5, "[Sheet: b]"), (6, "z")]
+
+
+def test_archives_with_missing_parts(spark):
+    from docloom.functions import codecs as A
+
+    rows = [(["a"], [b"x"]), (["a", "a"], [b"x", b"y"]), (["a", None], [b"x", b"y"]), (["a"], [None]), (None, [b"x"]), ([], []), (["é"], [b"x"])]
+    df = spark.createDataFrame(rows, "n array<string>, c array<binary>")
+    got = [r["e"] for r in df.select(A.zip_entries(A.zip_build("n", "c")).alias("e")).collect()]
+    assert [(e["name"], bytes(e["content"])) for e in got[0]] == [("a", b"x")] and got[1:] == [None] * 6
