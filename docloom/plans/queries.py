@@ -300,7 +300,8 @@ def q_pdf_roundtrip(spark, d):
 @query(f"SELECT p_partkey, regexp_replace('Привет ' || p_name || ' αβγ', '{SPACE_CLASS}', '', 'g') AS solid FROM part")
 def q_pdf_embedded(spark, d):
     """Texts that need an embedded font, to PDF and back through the font's own map."""
-    texts = _t(spark, d, "part").select("p_partkey", A.pdf_build(F.lit(None).cast("string"), F.array(F.concat(F.lit("Привет "), "p_name", F.lit(" αβγ")))).alias("pdf"))
+    names = R.deal_out(_t(spark, d, "part").select("p_partkey", "p_name"))
+    texts = names.select("p_partkey", A.pdf_build(F.lit(None).cast("string"), F.array(F.concat(F.lit("Привет "), "p_name", F.lit(" αβγ")))).alias("pdf"))
     return texts.select("p_partkey", F.regexp_replace(A.pdf_text("pdf")["text"], SPACE_CLASS, "").alias("solid"))
 
 

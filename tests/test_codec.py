@@ -1,3 +1,6 @@
+import cProfile
+import pstats
+import struct
 import zlib
 
 import pytest
@@ -234,3 +237,45 @@ def test_embedded_font():
     assert fonts.TrueType(fonts.assemble(found.tables)).glyphs == found.glyphs
     assert pdf_read.read_pdf(pdf_write.write_pdf("Привет", ["мир"]))[0] == "Привет\nмир"
 
+
+
+def test_embedded_font_subsets():
+    found = fonts.best_font(list(fonts.SYSTEM_FONTS), set("Привет"))
+    if found is None:
+        pytest.skip("no TrueType font here")
+    glyphs = {found.cmap[ord(c)] for c in "Приветéñ"}
+    made = fonts.TrueType(fonts.assemble({"cmap": found.tables["cmap"]} | _tables(found.subset(glyphs))))
+    keep = found.closure(glyphs)
+    assert made.glyphs == made.metrics == keep[-1] + 1
+    for g in range(made.glyphs):
+        assert made.width(g) == found.width(g)
+        assert made.outline(g).rstrip(b"\0") == (found.outline(g).rstrip(b"\0") if g in keep else b"")
+    data = bytes(range(251))
+    assert fonts.checksum(data) == sum(struct.unpack(">63I", data + b"\0")) & 0xFFFFFFFF
+    assert fonts.fonts_of(fonts.assemble(found.tables | {"hmtx": b"\0\0"})) == []
+    twice = ["Привет мир", "мир"], ["мир, Привет"], ["Привет мир", "мир"]
+    texts = [pdf_write.write_pdf(None, t) for t in twice]
+    assert texts[0] == texts[2] and [pdf_read.read_pdf(t)[0] for t in texts] == ["\n".join(t) for t in twice]
+    many = "".join(chr(c) for c in sorted(found.cmap) if 0x100 < c < 0x3000 and not chr(c).isspace())[:400]
+    assert len(many) > pdf_write.KEPT_CHARACTERS and pdf_read.read_pdf(pdf_write.write_pdf(None, [many]))[0].replace("\n", "") != ""
+
+
+def _tables(data):
+    n = struct.unpack_from(">H", data, 4)[0]
+    heads = [struct.unpack_from(">4sIII", data, 12 + 16 * k) for k in range(n)]
+    return {tag.decode("latin-1"): data[at : at + size] for tag, _, at, size in heads}
+
+
+def test_embedded_font_cost():
+    """Calls, not seconds: a short document's cost doesn't grow with the glyphs of its font."""
+    if fonts.best_font(list(fonts.SYSTEM_FONTS), set("Привет")) is None:
+        pytest.skip("no TrueType font here")
+    pdf_write.write_pdf(None, ["Привет"])
+
+    def calls(text):
+        with cProfile.Profile() as p:
+            assert pdf_read.read_pdf(pdf_write.write_pdf(None, [text]))[0] == text
+        return pstats.Stats(p).total_calls
+
+    new, again = calls("Привет, Qx7 αβγ"), calls("αβγ Qx7, Привет")
+    assert new < 2500 and again < new

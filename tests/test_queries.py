@@ -115,3 +115,14 @@ def test_archives_with_missing_parts(spark):
     df = spark.createDataFrame(rows, "n array<string>, c array<binary>")
     got = [r["e"] for r in df.select(A.zip_entries(A.zip_build("n", "c")).alias("e")).collect()]
     assert [(e["name"], bytes(e["content"])) for e in got[0]] == [("a", b"x")] and got[1:] == [None] * 6
+
+
+def test_costly_rows_are_dealt_out(spark):
+    from docloom.operators import relational as R
+
+    df = spark.createDataFrame([(k % 7 or None, "x" * (k % 3)) for k in range(500)], "k bigint, s string")
+    dealt = R.deal_out(df, 40)
+    shares = dealt.rdd.glom().map(len).collect()
+    assert len(shares) == 40 and max(shares) < 2 * min(shares)
+    assert sorted(map(repr, dealt.collect())) == sorted(map(repr, df.collect()))
+    assert QUERIES["q_pdf_embedded"](spark, SF).rdd.getNumPartitions() >= 32
